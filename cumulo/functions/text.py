@@ -15,6 +15,10 @@ _NOT_ID_CHAR = r"[^a-zA-Z0-9_]"
 _ACCOUNT_ID = r"(?<![\p{L}\p{N}_])([0-9]{12})(?![\p{L}\p{N}_])"
 _ROLE_ARN = r"^arn:aws:iam::[0-9]{12}:role/.+$"
 _TWELVE_DIGITS = r"^[0-9]{12}$"
+_WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 ID_LENGTH = 40
 ID_DEFAULT = "m"
 MESSAGE_LENGTH = 400
@@ -58,9 +62,14 @@ def first_nonblank(*values: Column) -> Column:
     return F.coalesce(*[blank_to_null(v) for v in values], F.lit(""))
 
 
+def stripped(value: Column) -> Column:
+    """Without white space of any kind at both ends; '' for NULL."""
+    return F.trim(F.coalesce(value, F.lit("")), F.lit(_WHITESPACE))
+
+
 def split_list(value: Column, upper: bool = False) -> Column:
     """Items of a comma list, trimmed, blanks dropped; NULL text gives an empty list."""
-    items = F.transform(F.split(F.coalesce(value, F.lit("")), ","), lambda item: F.trim(item))
+    items = F.transform(F.split(F.coalesce(value, F.lit("")), ","), lambda item: stripped(item))
     items = F.filter(items, lambda item: item != "")
     return F.transform(items, F.upper) if upper else items
 
@@ -89,8 +98,8 @@ def account_ids(*values: Column) -> Column:
 
 def role_for_account(role_arn: Column, account_id: Column) -> Column:
     """The role ARN with its account segment replaced; unchanged unless both have the right form."""
-    role = F.trim(F.coalesce(role_arn, F.lit("")))
-    account = F.trim(F.coalesce(account_id, F.lit("")))
+    role = stripped(role_arn)
+    account = stripped(account_id)
     rewritable = role.rlike(_ROLE_ARN) & account.rlike(_TWELVE_DIGITS)
     parts = F.split(role, ":", 6)
     moved = F.concat_ws(

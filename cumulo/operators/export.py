@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from cumulo.functions.text import safe_name
 
 EXPORT_KEYS = ("service", "region")
-_CSV = {"header": "true", "quote": '"', "escape": '"', "emptyValue": '""', "nullValue": ""}
+# A quote inside a field is doubled; NULL is an empty field and '' a quoted empty one.
+_CSV = {"header": "true", "quote": '"', "escape": '"', "nullValue": ""}
 
 
 def with_export_keys(df: DataFrame, service: str, several_accounts: bool) -> DataFrame:

@@ -85,7 +85,7 @@ def test_role_for_account(value, role, account, expected):
 
 
 def test_lists_and_names(value):
-    assert value(lambda c: X.split_list(c, upper=True), " ec2, ,s3 ,") == ["EC2", "S3"]
+    assert value(lambda c: X.split_list(c, upper=True), " ec2, ,s3\n ,") == ["EC2", "S3"]
     assert value(X.split_list, None) == []
     assert value(X.safe_name, "eu-west-1@a b/é.x") == "eu-west-1_a_b_é.x"
     assert value(X.safe_id, "a-b.c_1") == "abc_1"
