@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from cumulo.functions.text import safe_name
 
 EXPORT_KEYS = ("service", "region")
-# A quote inside a field is doubled; NULL is an empty field and '' a quoted empty one.
+# A quote inside a field is doubled. NULL and '' both end up as an empty field, read as NULL.
 _CSV = {"header": "true", "quote": '"', "escape": '"', "nullValue": ""}
 
 
@@ -20,18 +20,19 @@ def with_export_keys(df: DataFrame, service: str, several_accounts: bool) -> Dat
 
 
 def _export(df: DataFrame, path: str, form: str, options: dict[str, str]) -> None:
-    named = df.withColumns({k: safe_name(F.col(k)) for k in EXPORT_KEYS})
-    named.hint("rebalance", *EXPORT_KEYS).write.partitionBy(*EXPORT_KEYS).options(
-        **options
-    ).format(form).save(path)
+    df.hint("rebalance", *EXPORT_KEYS).write.partitionBy(*EXPORT_KEYS).options(**options).format(
+        form
+    ).save(path)
 
 
 def export_json(df: DataFrame, path: str) -> None:
-    _export(df, path, "json", {})
+    """The region key is kept as it is."""
+    _export(df.withColumn("service", safe_name(F.col("service"))), path, "json", {})
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    _export(df, path, "csv", _CSV)
+    """Both keys become safe names, as parts of a file name."""
+    _export(df.withColumns({k: safe_name(F.col(k)) for k in EXPORT_KEYS}), path, "csv", _CSV)
 
 
 def read_json_export(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
