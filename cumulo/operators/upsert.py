@@ -1,17 +1,19 @@
 """Upsert by business key into a partitioned catalog table.
 
-Tables of a row-level format take a native merge. On plain Parquet the partitions that hold a
-matched row or receive a new one are rewritten (copy-on-write):
+Tables of a row-level format take a native merge. On plain Parquet only the partitions that hold
+a matched row are rewritten (copy-on-write):
 
 1. the batch is made unique by key and staged;
 2. one scan of the target's key and partition columns, restricted to the batch's (client,
    account) directories, finds the partitions with a matched row;
-3. those partitions without their matched rows, plus the batch, are staged;
-4. the staged rows replace the partitions, and partitions left without rows are dropped:
+3. batch rows of all other partitions are appended;
+4. the matched partitions without their matched rows, plus their batch rows, are staged;
+5. the staged rows replace those partitions, and partitions left without rows are dropped:
    overwriting alone would keep the old copy of a row that moved elsewhere.
 
-The list of touched partitions is directory metadata, as small as the listing Spark itself keeps
-on the driver; no table rows are collected.
+Repeating an interrupted merge of the same batch completes it: whatever it had already inserted
+now matches and is replaced. The lists of partitions are directory metadata, as small as the
+listing Spark itself keeps on the driver; no table rows are collected.
 """
 
 from __future__ import annotations
@@ -111,9 +113,11 @@ def merge_batch(batch: DataFrame, name: str, table: Table) -> None:
         _rewrite_partitions(batch, name, table)
 
 
-def replace_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows whose key is not in the batch, followed by the batch."""
-    return _unmatched(target, batch, keys).unionByName(batch)
+def replace_rows(
+    target: DataFrame, new: DataFrame, batch: DataFrame, keys: Sequence[str]
+) -> DataFrame:
+    """Target rows whose key is not in the batch, followed by the new rows."""
+    return _matches(target, batch, keys, "left_anti").unionByName(new)
 
 
 def replace_by_key(
@@ -183,10 +187,6 @@ def _matches(target: DataFrame, batch: DataFrame, keys: Sequence[str], how: str)
     return spread.join(wanted, [*keys, "_spread"], how).select(*target.columns)
 
 
-def _unmatched(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return _matches(target, batch, keys, "left_anti")
-
-
 def _partition_list(df: DataFrame, columns: Sequence[str]) -> set[Row]:
     return set(df.select(*columns).distinct().collect())
 
@@ -202,36 +202,40 @@ def _lies_in(partitions: set[Row], columns: Sequence[str], schema: T.StructType)
 
 def _rewrite_partitions(batch: DataFrame, name: str, table: Table) -> None:
     spark = batch.sparkSession
+    spark.catalog.refreshTable(name)
     target = spark.table(name)
     if not table.partitions:
-        merged = stage(replace_rows(target, batch, table.keys), f"merged-{table.name}")
+        merged = stage(replace_rows(target, batch, batch, table.keys), f"merged-{table.name}")
         _insert(merged, name, overwrite=True)
         return
 
-    incoming = _partition_list(batch, table.partitions)
     # Partition columns that belong to the key confine the matches to the batch's directories.
     fixed = [c for c in table.partitions if c in table.keys]
     nearby = target
     if fixed:
-        scope = {Row(**{c: p[c] for c in fixed}) for p in incoming}
-        nearby = target.where(_lies_in(scope, fixed, table.schema))
+        nearby = target.where(_lies_in(_partition_list(batch, fixed), fixed, table.schema))
     columns = list(dict.fromkeys([*table.keys, *table.partitions]))
     matched = _matches(nearby.select(*columns), batch, table.keys, "left_semi")
-    touched = incoming | _partition_list(matched, table.partitions)
+    rewritten = _partition_list(matched, table.partitions)
+    if not rewritten:
+        _insert(_balanced(batch, table), name)
+        return
 
-    old = target.where(_lies_in(touched, table.partitions, table.schema))
+    inside = _lies_in(rewritten, table.partitions, table.schema)
     merged = stage(
-        _balanced(replace_rows(old, batch, table.keys), table),
+        _balanced(
+            replace_rows(target.where(inside), batch.where(inside), batch, table.keys), table
+        ),
         f"merged-{table.name}",
         *table.partitions,
     )
+    _insert(_balanced(batch.where(~inside), table), name)
     _insert(merged, name, overwrite=True)
 
-    emptied = touched - _partition_list(merged, table.partitions)
+    emptied = rewritten - _partition_list(merged, table.partitions)
     if emptied:
         specs = ", ".join(_partition_spec(p, table.partitions) for p in emptied)
         spark.sql(f"ALTER TABLE {_quoted(name)} DROP IF EXISTS {specs}")
-    spark.catalog.refreshTable(name)
 
 
 def _partition_spec(partition: Row, columns: Sequence[str]) -> str:
