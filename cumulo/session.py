@@ -8,12 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Every timestamp in the model is UTC text or a UTC instant, so the session must agree.
-_RUNTIME_CONF = {
-    "spark.sql.session.timeZone": "UTC",
-    # One percentile digest is kept per (series, hour): far more groups per task than the
-    # default of 128 before Spark gives up hashing and sorts the input instead.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
-}
+_RUNTIME_CONF = {"spark.sql.session.timeZone": "UTC"}
 
 
 def build_session(app: str = "cumulo", **conf: str) -> SparkSession:
