@@ -11,6 +11,7 @@ from cumulo.plans.ingest import Landed, run_ingest
 from cumulo.plans.params import IngestParams
 from cumulo.schemas import DAILY_METRICS_COPY
 from cumulo.session import scratch_dir
+from cumulo.sources.tables import read_if_exists
 from gate import roles as G
 from gate.registry import comparable, query, sql_comparable, table
 from gate.sinks import fresh_database
@@ -107,7 +108,10 @@ def ingest_job(spark, sf_dir):
         G.CLIENT, database, additional_client_id=G.OTHER_CLIENT, window_days=G.WHOLE_MONTH
     )
     run_ingest(spark, params, _landed(spark, sf_dir), MIDNIGHT)
-    return spark.table(f"{database}.{DAILY_METRICS_COPY.name}").select(
+    stored = read_if_exists(
+        spark, f"{database}.{DAILY_METRICS_COPY.name}", DAILY_METRICS_COPY.schema
+    )
+    return stored.select(
         "client_id",
         "account_id",
         "resource_id",
