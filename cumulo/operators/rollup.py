@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cumulo.functions.time import hour_of, month_of
-from cumulo.operators.shape import CLOUD, conform
+from cumulo.operators.shape import CLOUD, keep_last
 from cumulo.schemas import METRIC_SCHEMA, MetricSpec, daily_native, sub_daily
 
 PERCENTILE = 0.9
@@ -31,6 +31,8 @@ def collects(specs: Sequence[MetricSpec]) -> Column:
 
     The plain metric name list is implied by the pairs and can be pushed into the scan.
     """
+    if not specs:
+        return F.lit(False)
     pairs = [
         F.struct(F.lit(s.metric_name).alias("metric"), F.lit(s.stat.lower()).alias("stat"))
         for s in specs
@@ -102,6 +104,28 @@ def daily_projection(daily: DataFrame, namespace: str, run_time: dt.datetime) ->
     ).select(*METRIC_SCHEMA.fieldNames())
 
 
+def daily_values(
+    raw: DataFrame, specs: Sequence[MetricSpec], percentile: float = PERCENTILE
+) -> DataFrame:
+    """Both branches over raw points already restricted to their scopes and look-back.
+
+    Each branch scans only its own metrics: the pushed name lists do not overlap.
+    """
+    branches = [
+        rollup_sub_daily(raw, sub_daily(specs), percentile),
+        pass_through_daily(raw, daily_native(specs)),
+    ]
+    return branches[0].unionByName(branches[1])
+
+
+def unique_daily(daily: DataFrame) -> DataFrame:
+    """One row per key of the daily tables. Done before the projection: what is shuffled has no
+    columns that only repeat constants."""
+    return keep_last(
+        daily, (*_SERIES, "aggregation_type"), ("metric_value", "resource_name", "region")
+    )
+
+
 def daily_rollup(
     raw: DataFrame,
     specs: Sequence[MetricSpec],
@@ -110,18 +134,5 @@ def daily_rollup(
     run_time: dt.datetime,
     percentile: float = PERCENTILE,
 ) -> DataFrame:
-    """Both branches over raw points already restricted to their scopes and look-back.
-
-    Each branch scans only its own metrics: the pushed name lists do not overlap.
-    """
-    branches = []
-    if sub_daily(specs):
-        branches.append(rollup_sub_daily(raw, sub_daily(specs), percentile))
-    if daily_native(specs):
-        branches.append(pass_through_daily(raw, daily_native(specs)))
-    if not branches:
-        return conform(raw, METRIC_SCHEMA).where(F.lit(False))
-    daily = branches[0]
-    for branch in branches[1:]:
-        daily = daily.unionByName(branch)
-    return daily_projection(daily, namespace, run_time)
+    """The rows of the daily tables."""
+    return daily_projection(daily_values(raw, specs, percentile), namespace, run_time)

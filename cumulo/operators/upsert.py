@@ -75,9 +75,18 @@ def table_provider(spark: SparkSession, name: str) -> str:
     return row[0].lower() if row else ""
 
 
+def as_stored(df: DataFrame, table: Table) -> DataFrame:
+    """The declared columns; blank partition values are NULL, as they read back from storage."""
+    df = conform(df, table.schema)
+    text = [f.name for f in table.schema if isinstance(f.dataType, T.StringType)]
+    return df.withColumns(
+        {c: F.nullif(F.col(c), F.lit("")) for c in table.partitions if c in text}
+    )
+
+
 def append(df: DataFrame, name: str, table: Table) -> None:
     """Insert rows as they are, with files sized per partition."""
-    _insert(_balanced(_as_stored(df, table), table), name)
+    _insert(_balanced(as_stored(df, table), table), name)
 
 
 def upsert(
@@ -99,12 +108,13 @@ def upsert(
 
 def unique_batch(df: DataFrame, table: Table, order: Sequence[str] | None) -> DataFrame:
     if order:
-        return _as_stored(keep_last(df, table.keys, order), table)
-    return keep_one(_as_stored(df, table), table.keys)
+        return as_stored(keep_last(df, table.keys, order), table)
+    return keep_one(as_stored(df, table), table.keys)
 
 
 def merge_batch(batch: DataFrame, name: str, table: Table) -> None:
-    """Merge a staged batch, unique by key, into the table. An empty batch changes nothing."""
+    """Merge a batch into the table. It must be unique by key and cheap to read repeatedly, that
+    is, staged. An empty batch changes nothing."""
     if batch.isEmpty():
         return
     if table_provider(batch.sparkSession, name) in ROW_LEVEL_PROVIDERS:
@@ -131,15 +141,6 @@ def replace_by_key(
     return kept.select(*existing.columns).unionByName(new)
 
 
-def _as_stored(df: DataFrame, table: Table) -> DataFrame:
-    """The declared columns; blank partition values are NULL, as they read back from storage."""
-    df = conform(df, table.schema)
-    text = [f.name for f in table.schema if isinstance(f.dataType, T.StringType)]
-    return df.withColumns(
-        {c: F.nullif(F.col(c), F.lit("")) for c in table.partitions if c in text}
-    )
-
-
 def _balanced(df: DataFrame, table: Table) -> DataFrame:
     """Rows of a partition together, with large partitions split and small ones combined."""
     return df.hint("rebalance", *table.partitions) if table.partitions else df

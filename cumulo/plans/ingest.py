@@ -9,12 +9,13 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from cumulo.operators import points as P
-from cumulo.operators.rollup import daily_rollup
+from cumulo.operators.rollup import daily_projection, daily_values, unique_daily
 from cumulo.operators.shape import client_list, for_clients, keep_last, stamp
-from cumulo.operators.upsert import ensure_table, merge_batch, unique_batch
+from cumulo.operators.upsert import as_stored, ensure_table, merge_batch
 from cumulo.plans.params import IngestParams
 from cumulo.plans.services import Service, active_services, service_named
 from cumulo.schemas import DAILY_TABLES, Table
@@ -58,9 +59,9 @@ def _ingest_service(
 ) -> list[tuple]:
     accounts, regions = params.accounts or None, params.regions or None
     pages = read_inventory_pages(spark, landed.inventory, accounts, regions)
-    found = stamp(service.resources(pages), params.client_id, run_time)
+    found, fetched = _counted(service.resources(pages))
     resources = stage(keep_last(found, P.INSTANCE_KEYS, ARRIVAL), "resources")
-    log = [_save(resources, service.inventory, params, ARRIVAL)]
+    log = [_merge(stamp(resources, params.client_id, run_time), service.inventory, params, fetched)]
     # Without instances there is nothing to measure; without points the roll-up still runs.
     if service.metrics is None or log[0][1] == 0:
         return log
@@ -73,15 +74,16 @@ def _ingest_service(
     recent = P.landed_within(zipped, run_time, params.window_days)
     # Instance and volume series part ways from here: parse the documents only once.
     points = stage(P.align_points(recent), "points")
+    merged, fetched = _counted(P.instance_points(points))
+    # Repeated buckets go while the rows are still narrow; the last point to arrive stays.
+    unique = keep_last(
+        merged, (*P.INSTANCE_KEYS, "metric_name", "stat", "bucket"), (*ARRIVAL, "position")
+    )
     raw = P.enrich(
-        P.instance_points(points),
-        resources,
-        service.specs,
-        service_name=service.name,
-        namespace=service.namespace,
+        unique, resources, service.specs, service_name=service.name, namespace=service.namespace
     )
-    raw = stamp(raw, params.client_id, run_time)
-    log.append(_save(raw, service.metrics, params, (*ARRIVAL, "position")))
+    raw = stage(as_stored(stamp(raw, params.client_id, run_time), service.metrics), "raw")
+    log.append(_merge(raw, service.metrics, params, fetched))
 
     stored = read_raw_metrics(
         spark,
@@ -93,17 +95,21 @@ def _ingest_service(
         as_of=run_time.astimezone(dt.timezone.utc).date(),
         window_days=params.window_days,
     )
-    daily = daily_rollup(
-        stored,
-        service.specs,
-        namespace=service.namespace,
-        run_time=run_time,
-        percentile=service.percentile,
-    )
-    return log + _save_daily(daily, params)
+    values = unique_daily(daily_values(stored, service.specs, service.percentile))
+    daily = stage(daily_projection(values, service.namespace, run_time), "daily")
+    return log + [_merge(daily, table, params) for table in DAILY_TABLES]
+
+
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """Count the rows on their way through the next write instead of in a job of their own."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def _merge_for_tenants(batch: DataFrame, table: Table, params: IngestParams) -> int:
+def _merge(
+    batch: DataFrame, table: Table, params: IngestParams, fetched: Observation | None = None
+) -> tuple:
+    """Merge a staged batch, unique by key, once per tenant; returns its line of the run log."""
     clients = client_list(params.client_id, params.additional_client_id)
     name = ensure_table(
         batch.sparkSession,
@@ -112,20 +118,6 @@ def _merge_for_tenants(batch: DataFrame, table: Table, params: IngestParams) ->
         provider=params.provider,
         warehouse=params.warehouse or None,
     )
-    merge_batch(for_clients(batch, clients), name, table)
-    return len(clients)
-
-
-def _save(df: DataFrame, table: Table, params: IngestParams, order: tuple[str, ...]) -> tuple:
-    batch = stage(unique_batch(df, table, order), f"batch-{table.name}")
-    rows = batch.count()
-    return (table.name, rows, rows * _merge_for_tenants(batch, table, params), False)
-
-
-def _save_daily(daily: DataFrame, params: IngestParams) -> list[tuple]:
-    batch = stage(unique_batch(daily, DAILY_TABLES[0], None), "batch-daily")
-    rows = batch.count()
-    return [
-        (table.name, 0, rows * _merge_for_tenants(batch, table, params), False)
-        for table in DAILY_TABLES
-    ]
+    merge_batch(for_clients(as_stored(batch, table), clients), name, table)
+    rows_fetched = fetched.get["rows"] if fetched else 0
+    return (table.name, rows_fetched, batch.count() * len(clients), False)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cumulo.functions import text as X
+from cumulo.functions.time import iso_utc
 from cumulo.operators import catalog as C
 from cumulo.operators import reports as R
+from cumulo.sources import tables as T
 from gate import roles as G
 from gate.registry import query, table
 
@@ -92,6 +94,36 @@ def unique_key_violations(spark, sf_dir):
     return C.unique_key_violations(catalog(spark, sf_dir))
 
 
+@query(
+    "catalog_defaults",
+    """
+SELECT p_partkey AS id, coalesce(CASE WHEN p_type = 'LARGE' THEN false END, true) AS is_active,
+       '2024-01-31T06:30:00Z' AS created_at FROM part
+""",
+)
+def catalog_defaults(spark, sf_dir):
+    inactive = F.when(F.col("category") == "LARGE", False)
+    rows = catalog(spark, sf_dir).withColumn("is_active", inactive)
+    filled = C.with_catalog_defaults(rows, F.lit(G.RUN_TIME))
+    return filled.select("id", "is_active", iso_utc(F.col("created_at")).alias("created_at"))
+
+
+@query(
+    "jdbc_query_text",
+    f"""
+WITH {SQL_CATALOG}
+SELECT DISTINCT service_code FROM catalog WHERE lower(trim(cloud_provider)) = 'aws' AND is_active
+""",
+)
+def jdbc_query_text(spark, sf_dir):
+    """The text a JDBC read pushes into the database, run here over the same catalog rows."""
+    return T.with_view(
+        catalog(spark, sf_dir),
+        "cumulo_service_configuration",
+        lambda session, name: session.sql(T.active_codes_query(name)),
+    )
+
+
 # ---------------------------------------------------------------------------------------------
 # Scopes and ids
 # ---------------------------------------------------------------------------------------------

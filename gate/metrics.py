@@ -134,12 +134,16 @@ daily AS (
 """
 
 
+def daily_values(spark, sf_dir):
+    raw = G.period_points(spark, sf_dir)
+    return R.daily_values(
+        raw.where(T.looks_back(G.SERVICE, G.AS_OF, G.WHOLE_MONTH)), G.EVENT_SPECS
+    )
+
+
 def daily_rows(spark, sf_dir):
     """The flagship: raw events to daily metric rows of the whole month."""
-    raw = G.period_points(spark, sf_dir).where(
-        T.looks_back(G.SERVICE, G.AS_OF, G.WHOLE_MONTH)
-    )
-    return R.daily_rollup(raw, G.EVENT_SPECS, namespace=G.NAMESPACE, run_time=G.RUN_TIME)
+    return R.daily_projection(daily_values(spark, sf_dir), G.NAMESPACE, G.RUN_TIME)
 
 
 @query(

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from cumulo.operators import export as X
+from cumulo.operators import rollup as R
 from cumulo.operators import shape as S
 from cumulo.operators import upsert as U
 from cumulo.operators.catalog import normalized
@@ -15,7 +16,7 @@ from cumulo.session import scratch_dir, stage
 from cumulo.sources import tables as T
 from gate import roles as G
 from gate.catalog import SQL_CATALOG, catalog
-from gate.metrics import SQL_DAILY, daily_rows
+from gate.metrics import SQL_DAILY, daily_values
 from gate.registry import comparable, query, sql_comparable, table
 
 
@@ -200,11 +201,12 @@ FROM daily, (VALUES ('test_bronze_aws_metrics'), ('bronze_aws_daily_metrics')) A
 def dual_table_write(spark, sf_dir):
     """One result, computed once, merged into both daily tables."""
     database = fresh_database(spark, "dual")
-    batch = stage(U.unique_batch(daily_rows(spark, sf_dir), DAILY_METRICS, None), "daily")
+    values = R.unique_daily(daily_values(spark, sf_dir))
+    batch = stage(R.daily_projection(values, G.NAMESPACE, G.RUN_TIME), "daily")
     stored = []
     for daily in DAILY_TABLES:
         name = U.ensure_table(spark, database, daily)
-        U.merge_batch(batch, name, daily)
+        U.merge_batch(U.as_stored(batch, daily), name, daily)
         stored.append(spark.table(name).withColumn("table_name", F.lit(daily.name)))
     return stored[0].unionByName(stored[1]).select(
         "table_name",

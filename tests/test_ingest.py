@@ -50,7 +50,7 @@ def test_job_is_idempotent_and_serves_both_tenants(spark, database, landed, run_
     totals = {r.table_name: (r.rows_fetched, r.rows_merged) for r in run_totals(log).collect()}
     assert totals == {
         "bronze_aws_ec2_instances_v1": (2, 4),
-        "bronze_aws_metrics_v1": (10, 20),
+        "bronze_aws_metrics_v1": (14, 20),
         "test_bronze_aws_metrics": (0, 8),
         "bronze_aws_daily_metrics": (0, 8),
     }
