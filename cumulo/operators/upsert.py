@@ -107,9 +107,10 @@ def upsert(
 
 
 def unique_batch(df: DataFrame, table: Table, order: Sequence[str] | None) -> DataFrame:
-    if order:
-        return as_stored(keep_last(df, table.keys, order), table)
-    return keep_one(as_stored(df, table), table.keys)
+    if not order:
+        return keep_one(as_stored(df, table), table.keys)
+    absent = {k: F.lit(None).cast("string") for k in table.keys if k not in df.columns}
+    return as_stored(keep_last(df.withColumns(absent), table.keys, order), table)
 
 
 def merge_batch(batch: DataFrame, name: str, table: Table) -> None:
@@ -215,9 +216,11 @@ def _rewrite_partitions(batch: DataFrame, name: str, table: Table) -> None:
     nearby = target
     if fixed:
         nearby = target.where(_lies_in(_partition_list(batch, fixed), fixed, table.schema))
-    columns = list(dict.fromkeys([*table.keys, *table.partitions]))
-    matched = _matches(nearby.select(*columns), batch, table.keys, "left_semi")
-    rewritten = _partition_list(matched, table.partitions)
+    rewritten: set[Row] = set()
+    if not nearby.isEmpty():
+        columns = list(dict.fromkeys([*table.keys, *table.partitions]))
+        matched = _matches(nearby.select(*columns), batch, table.keys, "left_semi")
+        rewritten = _partition_list(matched, table.partitions)
     if not rewritten:
         _insert(_balanced(batch, table), name)
         return

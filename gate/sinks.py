@@ -177,7 +177,8 @@ def upsert_dataframe(spark, sf_dir):
         F.lit("Sum").alias("aggregation_type"),
         F.date_format("ts", "yyyy-MM").alias("year_month"),
     )
-    U.upsert(events.withColumn("region", F.lit("stored")), name, DAILY_METRICS)
+    stored = events.withColumn("region", F.lit("stored"))
+    U.upsert(stored, name, DAILY_METRICS, order=["metric_value"])
     late = (
         events.withColumn("metric_name", F.lit("view"))
         .groupBy(*[c for c in events.columns if c != "metric_value"])

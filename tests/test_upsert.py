@@ -109,6 +109,21 @@ def test_last_in_order_wins(spark, table, batch):
     assert stored(spark, table) == [("1", "c", "m", "late", "")]
 
 
+def test_a_missing_key_column_is_null(spark, table, batch):
+    df = batch(("1", "c", "m", "late", "2"), ("2", "c", "m", "early", "1")).drop("k")
+    U.upsert(df, table, TABLE, order=["w"])
+    assert stored(spark, table) == [(None, "c", "m", "late", "2")]
+
+
+def test_an_interrupted_merge_is_completed_by_repeating_it(spark, table, batch):
+    """Appended rows of a half-done merge match on the next try and are replaced."""
+    U.upsert(batch(("1", "c", "m1", "old", "")), table, TABLE)
+    again = batch(("1", "c", "m2", "new", ""), ("2", "c", "m2", "new", ""))
+    U.append(again, table, TABLE)
+    U.upsert(again, table, TABLE)
+    assert stored(spark, table) == [("1", "c", "m2", "new", ""), ("2", "c", "m2", "new", "")]
+
+
 def test_empty_batch(spark, table, batch):
     U.upsert(batch(("1", "c", "m", "a", "")), table, TABLE)
     assert U.upsert(batch().limit(0), table, TABLE).count() == 0
