@@ -12,6 +12,7 @@ ELLIPSIS = "…"
 # Patterns. Letters, digits and words are Unicode-aware where the pattern says so.
 _NOT_NAME_CHAR = r"[^\p{L}\p{N}_\-.]"
 _NOT_ID_CHAR = r"[^a-zA-Z0-9_]"
+_NOT_VIEW_CHAR = r"[^A-Za-z0-9_]"
 _ACCOUNT_ID = r"(?<![\p{L}\p{N}_])([0-9]{12})(?![\p{L}\p{N}_])"
 _ROLE_ARN = r"^arn:aws:iam::[0-9]{12}:role/.+$"
 _TWELVE_DIGITS = r"^[0-9]{12}$"
@@ -117,9 +118,8 @@ def safe_id(value: Column) -> Column:
     return F.coalesce(blank_to_null(cleaned), F.lit(ID_DEFAULT))
 
 
-def safe_view_name(value: str) -> str:
-    """A client id as part of a view name (driver-side configuration, not data)."""
-    return "".join(c if c.isascii() and (c.isalnum() or c == "_") else "_" for c in value)
+def safe_view_name(value: Column) -> Column:
+    return F.regexp_replace(value, _NOT_VIEW_CHAR, "_")
 
 
 def truncated(message: Column, length: int = MESSAGE_LENGTH) -> Column:

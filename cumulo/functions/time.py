@@ -7,9 +7,10 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cumulo.schemas import DAILY_INTERVALS
+
 # Text formats and the seconds of the bucket rules.
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-DAILY_INTERVALS = ("P1D", "PT1D")
 MINUTE, HOUR, DAY = 60, 3600, 86400
 
 

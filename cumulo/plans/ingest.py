@@ -19,7 +19,7 @@ from cumulo.operators.upsert import as_stored, ensure_table, merge_batch
 from cumulo.plans.params import IngestParams
 from cumulo.plans.services import Service, active_services, service_named
 from cumulo.schemas import DAILY_TABLES, Table
-from cumulo.session import stage
+from cumulo.session import configure, stage
 from cumulo.sources.landed import ARRIVAL, read_inventory_pages, read_metric_results
 from cumulo.sources.tables import read_raw_metrics
 
@@ -42,6 +42,7 @@ def run_ingest(
     catalog: DataFrame | None = None,
 ) -> DataFrame:
     """Run every requested or active service that is registered; returns the run log by table."""
+    configure(spark)
     log: list[tuple] = []
     for name in active_services(params.services, catalog):
         service = service_named(name)

@@ -258,10 +258,17 @@ def parse_comma_list(spark, sf_dir):
 
 @query(
     "safe_name",
-    r"SELECT doc_id, regexp_replace(text, '[^\p{L}\p{N}_\-.]', '_', 'g') AS name FROM documents",
+    r"""
+SELECT doc_id, regexp_replace(text, '[^\p{L}\p{N}_\-.]', '_', 'g') AS name,
+       regexp_replace(text, '[^A-Za-z0-9_]', '_', 'g') AS view_name
+FROM documents
+""",
 )
 def safe_name(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", X.safe_name(F.col("text")).alias("name"))
+    text = F.col("text")
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", X.safe_name(text).alias("name"), X.safe_view_name(text).alias("view_name")
+    )
 
 
 @query(

@@ -759,7 +759,8 @@ def temp_view_source(spark, sf_dir):
         G.points(spark, sf_dir),
         "cumulo_merge_source",
         lambda session, name: session.sql(
-            f"select metric_name, count(*) as n, max(event_id) as last_id from {name} group by metric_name"
+            "select metric_name, count(*) as n, max(event_id) as last_id "
+            f"from {name} group by metric_name"
         ),
     )
 

@@ -1,33 +1,20 @@
 """Physical plans: what must and must not be in them."""
 
 import datetime as dt
-from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from cumulo.operators import points as P
 from cumulo.operators import rollup as R
 from cumulo.operators import upsert as U
 from cumulo.schemas import INSTANCE_SPECS, RAW_METRICS, VOLUME_SPECS
 from cumulo.sources.tables import read_raw_metrics
 
-SMALL = Path(contract.SMOKE_DIR)
-FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "ExistingRDD[obj")
-
-
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.skipif(not SMALL.exists(), reason="no test tables")
-@pytest.mark.parametrize("name", list(contract.queries()))
-def test_no_product_joins_and_no_python(spark, name):
-    text = plan(contract.queries()[name](spark, str(SMALL)))
-    assert not [word for word in FORBIDDEN if word in text]
-
-
 @pytest.fixture
 def stored_metrics(spark, database):
     name = U.ensure_table(spark, database, RAW_METRICS)
