@@ -28,6 +28,17 @@ def error_class(code: Column) -> Column:
     return F.when(code.isin(*SOFT_DENIAL_CODES), "soft").when(code != "", "hard")
 
 
+def without_failed_scopes(pages: DataFrame, errors: DataFrame) -> DataFrame:
+    """Pages of scopes that were listed completely: an error of either class leaves its account
+    and region without inventory, also where some pages had arrived before it."""
+    failed = errors.where(error_class(F.col("code")).isNotNull()).select("account_id", "region")
+    return pages.join(failed, ["account_id", "region"], "left_anti")
+
+
+def hard_failures(errors: DataFrame) -> DataFrame:
+    return errors.where(error_class(F.col("code")) == "hard")
+
+
 def fails_softly(code: Column) -> Column:
     """Whether a failing fetch is only warned about; expired requests are not."""
     return code.isin(*[c for c in SOFT_DENIAL_CODES if c != "RequestExpired"])

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cumulo.operators import points as P
+from cumulo.operators.reports import hard_failures, without_failed_scopes
 from cumulo.operators.rollup import daily_projection, daily_values, unique_daily
 from cumulo.operators.shape import client_list, for_clients, keep_last, stamp
 from cumulo.operators.upsert import as_stored, ensure_table, merge_batch
@@ -20,18 +21,19 @@ from cumulo.plans.params import IngestParams
 from cumulo.plans.services import Service, active_services, service_named
 from cumulo.schemas import DAILY_TABLES, Table
 from cumulo.session import configure, stage
-from cumulo.sources.landed import ARRIVAL, read_inventory_pages, read_metric_results
+from cumulo.sources.landed import ARRIVAL, read_error_log, read_inventory_pages, read_metric_results
 from cumulo.sources.tables import read_raw_metrics
 
-_RUN_LOG = "table_name string, rows_fetched long, rows_merged long, failed boolean"
+_RUN_LOG = "table_name string, rows_fetched long, rows_merged long, failed long"
 
 
 @dataclass(frozen=True)
 class Landed:
-    """Folders of landed documents, partitioned by account and region."""
+    """Folders of landed documents, partitioned by account and region, and of landing errors."""
 
     inventory: str
     metrics: str
+    errors: str | None = None
 
 
 def run_ingest(
@@ -60,9 +62,15 @@ def _ingest_service(
 ) -> list[tuple]:
     accounts, regions = params.accounts or None, params.regions or None
     pages = read_inventory_pages(spark, landed.inventory, accounts, regions)
+    failures = 0
+    if landed.errors:
+        errors = read_error_log(spark, landed.errors).where(F.col("service_name") == service.name)
+        pages = without_failed_scopes(pages, errors)
+        failures = hard_failures(errors).count()
     found, fetched = _counted(service.resources(pages))
     resources = stage(keep_last(found, P.INSTANCE_KEYS, ARRIVAL), "resources")
-    log = [_merge(stamp(resources, params.client_id, run_time), service.inventory, params, fetched)]
+    inventory = stamp(resources, params.client_id, run_time)
+    log = [_merge(inventory, service.inventory, params, fetched, failures)]
     # Without instances there is nothing to measure; without points the roll-up still runs.
     if service.metrics is None or log[0][1] == 0:
         return log
@@ -108,7 +116,11 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def _merge(
-    batch: DataFrame, table: Table, params: IngestParams, fetched: Observation | None = None
+    batch: DataFrame,
+    table: Table,
+    params: IngestParams,
+    fetched: Observation | None = None,
+    failures: int = 0,
 ) -> tuple:
     """Merge a staged batch, unique by key, once per tenant; returns its line of the run log."""
     clients = client_list(params.client_id, params.additional_client_id)
@@ -121,4 +133,4 @@ def _merge(
     )
     merge_batch(for_clients(as_stored(batch, table), clients), name, table)
     rows_fetched = fetched.get["rows"] if fetched else 0
-    return (table.name, rows_fetched, batch.count() * len(clients), False)
+    return (table.name, rows_fetched, batch.count() * len(clients), failures)

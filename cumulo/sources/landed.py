@@ -27,6 +27,12 @@ _RESULT = T.StructType(
 )
 
 
+_ERROR = T.StructType(
+    [
+        T.StructField(name, T.StringType())
+        for name in ("service_name", "account_id", "region", "code", "message")
+    ]
+)
 ARRIVAL = ("landed_at", "landed_line")
 
 
@@ -71,3 +77,8 @@ def read_metric_results(
     Further pages of a result are simply further rows.
     """
     return _read(spark, _RESULT, path, accounts, regions)
+
+
+def read_error_log(spark: SparkSession, path: str) -> DataFrame:
+    """Errors met while landing: service, account, region, code and message."""
+    return spark.read.schema(_ERROR).json(path)

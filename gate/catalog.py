@@ -347,6 +347,26 @@ def classify_errors(spark, sf_dir):
     )
 
 
+@query(
+    "failed_scopes",
+    """
+SELECT c_custkey, 'nation-' || c_nationkey AS account_id FROM customer
+WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal < 0 OR s_acctbal > 9500)
+""",
+)
+def failed_scopes(spark, sf_dir):
+    """Suppliers as listing calls: debts are denials, riches hard errors; their nations drop out."""
+    balance = F.col("s_acctbal")
+    account = lambda key: F.concat(F.lit("nation-"), key).alias("account_id")
+    region = F.lit(G.REGION).alias("region")
+    code = F.when(balance < 0, "AccessDenied").when(balance > 9500, "InvalidRequest")
+    errors = table(spark, sf_dir, "supplier").select(
+        account("s_nationkey"), region, code.alias("code")
+    )
+    pages = table(spark, sf_dir, "customer").select("c_custkey", account("c_nationkey"), region)
+    return R.without_failed_scopes(pages, errors).select("c_custkey", "account_id")
+
+
 @query(
     "denial_summary",
     f"""

@@ -87,3 +87,34 @@ def test_scope_and_unknown_services(spark, database, landed, run_time):
     assert log["bronze_aws_ec2_instances_v1"] == 1
     none = IngestParams("c1", database, accounts=("000000000000",))
     assert [r.rows_fetched for r in run_ingest(spark, none, landed, run_time).collect()] == [0]
+
+
+def test_scopes_with_errors_have_no_inventory(spark, database, landed, run_time, tmp_path):
+    errors = [
+        {"service_name": "EC2", "account_id": ACCOUNTS[0], "region": "eu-west-1", "code": "AuthFailure"},
+        {"service_name": "EC2", "account_id": ACCOUNTS[0], "region": "us-east-1", "code": "InvalidRequest"},
+        {"service_name": "S3", "account_id": ACCOUNTS[1], "region": "eu-west-1", "code": "InvalidRequest"},
+    ]
+    land(tmp_path / "errors", "e.json", errors)
+    logged = Landed(landed.inventory, landed.metrics, str(tmp_path / "errors"))
+    totals = run_totals(run_ingest(spark, IngestParams("c1", database), logged, run_time))
+    row = totals.where("table_name = 'bronze_aws_ec2_instances_v1'").first()
+    assert (row.rows_fetched, row.rows_merged, row.failures) == (1, 1, 1)
+    stored = spark.table(f"{database}.bronze_aws_ec2_instances_v1")
+    assert [r.account_id for r in stored.collect()] == [ACCOUNTS[1]]
+
+
+def test_instances_without_points(spark, database, landed, run_time, tmp_path):
+    """Raw metrics receive nothing, yet the roll-up still runs over what is stored."""
+    run_ingest(spark, IngestParams("c1", database), landed, run_time)
+    scope = f"account_id={ACCOUNTS[0]}/region=eu-west-1"
+    land(tmp_path / "silent" / scope, "m.json", [{"Id": "other", "Timestamps": [], "Values": []}])
+    silent = Landed(landed.inventory, str(tmp_path / "silent"))
+    log = run_totals(run_ingest(spark, IngestParams("c1", database), silent, run_time))
+    totals = {r.table_name: (r.rows_fetched, r.rows_merged) for r in log.collect()}
+    assert totals == {
+        "bronze_aws_ec2_instances_v1": (2, 2),
+        "bronze_aws_metrics_v1": (0, 0),
+        "test_bronze_aws_metrics": (0, 4),
+        "bronze_aws_daily_metrics": (0, 4),
+    }

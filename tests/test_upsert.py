@@ -1,6 +1,9 @@
 """Deduplication, tables and upserts."""
 
+import random
+
 import pytest
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from cumulo.operators import shape as S
@@ -147,8 +150,6 @@ def test_unpartitioned_table(spark, database, batch):
 
 def test_many_rows_against_a_model(spark, table):
     """Random upserts behave as a dictionary keyed by (client, k)."""
-    import random
-
     rng = random.Random(7)
     model = {}
     for run in range(3):
@@ -173,3 +174,9 @@ def test_tenants(spark, rows):
     df = spark.createDataFrame([("x", "old")], "v string, client_id string")
     assert rows(S.for_clients(df, S.client_list("a", "b")).select("client_id")) == [("a",), ("b",)]
     assert S.client_list("a") == ["a"]
+
+
+def test_native_merge_resolves_and_is_refused_by_parquet(spark, table, batch):
+    """All names of the merge resolve; only the format's lack of row-level writes stops it."""
+    with pytest.raises(UnsupportedOperationException, match="does not support MERGE INTO TABLE"):
+        U._merge_rows(batch(("1", "c", "m", "a", "")), table, TABLE)
