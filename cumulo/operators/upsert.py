@@ -193,13 +193,22 @@ def _partition_list(df: DataFrame, columns: Sequence[str]) -> set[Row]:
     return set(df.select(*columns).distinct().collect())
 
 
+def _literal(value: object) -> str:
+    return "null" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _lies_in(partitions: set[Row], columns: Sequence[str], schema: T.StructType) -> Column:
-    """Static partition predicate; NULL partition values compare equal inside the struct."""
-    wanted = [
-        F.struct(*[F.lit(p[c]).cast(schema[c].dataType).alias(c) for c in columns])
-        for p in partitions
-    ]
-    return F.struct(*columns).isin(*wanted)
+    """Static partition predicate; NULL partition values compare equal inside the struct.
+
+    Written as text: thousands of partitions are then one call into the JVM.
+    """
+    types = {c: schema[c].dataType.simpleString() for c in columns}
+
+    def row(value) -> str:
+        return "named_struct(" + ", ".join(f"{_literal(c)}, {value(c)}" for c in columns) + ")"
+
+    wanted = ", ".join(row(lambda c: f"cast({_literal(p[c])} as {types[c]})") for p in partitions)
+    return F.expr(f"{row(_quoted)} in ({wanted})")
 
 
 def _rewrite_partitions(batch: DataFrame, name: str, table: Table) -> None:
@@ -243,9 +252,5 @@ def _rewrite_partitions(batch: DataFrame, name: str, table: Table) -> None:
 
 
 def _partition_spec(partition: Row, columns: Sequence[str]) -> str:
-    values = []
-    for c in columns:
-        v = partition[c]
-        text = "null" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
-        values.append(f"{_quoted(c)} = {text}")
-    return f"PARTITION ({', '.join(values)})"
+    values = ", ".join(f"{_quoted(c)} = {_literal(partition[c])}" for c in columns)
+    return f"PARTITION ({values})"
