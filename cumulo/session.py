@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,16 +30,9 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder name under the cluster's shared checkpoint folder.
-
-    Without ``spark.checkpoint.dir`` only a local master may fall back to the machine's own
-    temporary folder: on a cluster the executors would not see the same files.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="cumulo-")
+    """A new folder name in storage that the driver and all executors share: the checkpoint
+    folder, or else the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/cumulo/{label}-{uuid.uuid4().hex}"
 
 

@@ -5,12 +5,12 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as contract
+from gate.registry import ORACLES, QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 
 SMALL = Path(contract.SMOKE_DIR)
 pytestmark = pytest.mark.skipif(not SMALL.exists(), reason="no test tables")
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 # Products of rows and Python workers have no place in any plan.
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas")
 
