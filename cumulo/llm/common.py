@@ -48,8 +48,8 @@ def arrow_batches(schema: pa.Schema, rows: Callable[[pa.RecordBatch], Iterator[t
     return run
 
 
-def numbered(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Number the rows of each key from 0 without gaps.
+def numbered(df: DataFrame, keys: list[str], name: str) -> tuple[DataFrame, DataFrame]:
+    """Number the rows of each key from 0 without gaps; also gives each key's count as ``n``.
 
     The rows are written once, so that their task and place are fixed; each task's rows of a key
     are numbered apart and shifted by the count in earlier tasks. A key that holds most rows is
@@ -63,12 +63,13 @@ def numbered(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     earlier = Window.partitionBy(*keys).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*keys, "_task", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     inside = Window.partitionBy(*keys, "_task").orderBy("_place")
-    return (
+    out = (
         rows.withColumn("_rank", F.row_number().over(inside) - 1)
         .join(starts, [*keys, "_task"])
         .withColumn(name, (F.col("_start") + F.col("_rank")).cast("long"))
         .drop("_task", "_place", "_rank", "_start")
     )
+    return out, rows.groupBy(*keys).agg(F.count("*").alias("n"))
 
 
 def connected(edges: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cumulo.llm import sharding, token_counts
+from cumulo.llm import decontamination, packing, sharding, simhash, token_counts
 from cumulo.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
 
 
+@query("op2_best_fit_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.tokenize(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
 @query("op4_hash_tree_sharding")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
@@ -46,9 +52,20 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(rows, "doc_id", sharding.tree(16))
 
 
+@query("op6_pigeonhole_decontamination")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 @query("op9_token_counts")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(
         documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken")
     )
     return counted.drop("text")
+
+
+@query("op10_pigeonring_simhash")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

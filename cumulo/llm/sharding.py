@@ -78,4 +78,4 @@ def shard(df: DataFrame, key: str, root: Node, slots: bool = True) -> DataFrame:
     """Add ``shard``, ``grown_shard`` (with one more shard of weight 1) and, with ``slots``, the
     row's ``slot`` in its shard, from 0 without gaps. Other columns stay."""
     out = df.withColumn("shard", place(F.col(key), root)).withColumn("grown_shard", place(F.col(key), grow(root)))
-    return numbered(out, ["shard"], "slot") if slots else out
+    return numbered(out, ["shard"], "slot")[0] if slots else out
