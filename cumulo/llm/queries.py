@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cumulo.llm import decontamination, packing, sharding, simhash, token_counts
+from cumulo.llm import decontamination, packing, sharding, simhash, substrings, token_counts
 from cumulo.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,37 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(rows, "doc_id", sharding.tree(16))
 
 
+@query(
+    "op5_difference_cover_repeats",
+    r"""
+    WITH words AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), windows AS (
+        SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS s
+        FROM words, LATERAL unnest(range(1, len(w) - 11)) AS r(i)
+    ), firsts AS (
+        SELECT s, min(doc_id) AS d FROM windows GROUP BY s
+    ), covered AS (
+        SELECT DISTINCT doc_id, i + k AS at
+        FROM windows JOIN firsts USING (s), range(0, 13) AS o(k)
+        WHERE d < doc_id
+    ), kept AS (
+        SELECT words.doc_id, words.p, words.word
+        FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM words) AS words
+        ANTI JOIN covered ON covered.doc_id = words.doc_id AND covered.at = words.p
+    ), joined AS (
+        SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM kept GROUP BY doc_id
+    )
+    SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+           sha256(coalesce(t, '')) AS kept_sha256
+    FROM words LEFT JOIN joined USING (doc_id)
+    """,
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query("op6_pigeonhole_decontamination")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
