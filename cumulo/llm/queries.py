@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cumulo.llm import decontamination, packing, sharding, simhash, substrings, token_counts
+from cumulo.llm import context_tree, decontamination, packing, sharding, simhash, substrings, token_counts
 from cumulo.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@query("op7_context_tree_scores")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(documents(spark, sf_dir))
+
+
 @query("op9_token_counts")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(
