@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cumulo.llm import context_tree, decontamination, packing, sharding, simhash, substrings, token_counts
+from cumulo.llm import context_tree, decontamination, packing, quality, sharding, simhash, substrings, token_counts
 from cumulo.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
+@query("op3_weak_label_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")).drop("text")
+
+
 @query("op4_hash_tree_sharding")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
