@@ -8,9 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cumulo.llm import context_tree, decontamination, packing, quality, sharding, simhash, substrings, token_counts
+from cumulo.llm import context_tree, decontamination, packing, pii, quality, sharding, simhash, substrings, token_counts
 from cumulo.session import configure
 
+# For repeatable checks only: a real run passes a secret of its own.
+KEY = b"pseudonyms of the check tables"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -34,6 +37,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
 
 
+@query("op1_feistel_pseudonyms")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymize(documents(spark, sf_dir), KEY)
+
+
 @query("op2_best_fit_packing")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.tokenize(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
