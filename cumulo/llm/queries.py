@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cumulo.llm import context_tree, decontamination, packing, pii, quality, sharding, simhash, substrings, token_counts
+from cumulo.llm import context_tree, decontamination, embeddings, packing, pii, quality, sharding, simhash, substrings, token_counts
 from cumulo.session import configure
 
 # For repeatable checks only: a real run passes a secret of its own.
@@ -106,6 +106,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.score(documents(spark, sf_dir))
 
 
+@query("op8_spherical_cap_filters")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @query("op9_token_counts")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(
