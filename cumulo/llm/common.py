@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cumulo.session import scratch_dir, stage
+from cumulo.session import configure, stage
 
-__all__ = ["arrow_batches", "connected", "numbered", "scratch_dir", "stage", "texts_of", "words_of"]
+__all__ = ["arrow_batches", "connected", "numbered", "prepare", "stage", "texts_of", "words_of"]
+
+# Rows that a task hands to Python at a time; whole texts can be long.
+BATCH_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """The session with the settings the operators rely on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return configure(spark)
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
@@ -97,14 +105,3 @@ def connected(edges: DataFrame) -> DataFrame:
         last = state
     stars = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.union(links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A fixed bijection of 64-bit words that spreads their bits."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-

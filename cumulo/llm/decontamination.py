@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,6 +25,8 @@ from cumulo.llm.common import arrow_batches
 
 # Characters of items that one pass may hold in a task.
 BLOCK_CHARS = 4_000_000
+# Edits allowed per character of an item.
+RATE = 0.05
 _BLANKS = re.compile(r"[\x20\x09-\x0D]+")
 
 
@@ -100,61 +103,87 @@ def _blocks(items: list[tuple[int, str]]) -> list[list[tuple[int, str]]]:
     return out
 
 
-def leaks(docs: DataFrame, items: DataFrame, rate: float = 0.05) -> DataFrame:
-    """``doc_id``, ``item_id``, ``distance`` and ``stop`` (where the closest stretch of the
-    normalised text ends), one row per document row and item leaked."""
-    spark = docs.sparkSession
-    known = [(r[0], normal(r[1])) for r in items.select("item_id", "text").where("text is not null").toLocalIterator()]
-    found = None
-    for block in _blocks([x for x in known if x[1]]):
-        part = _pass(docs, block, rate)
-        found = part if found is None else found.union(part)
-    return found
-
-
-def _pass(docs: DataFrame, block: list[tuple[int, str]], rate: float) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast((block, rate))
-    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int32()), ("stop", pa.int64())])
+class Finder:
+    """All leaks of a block of items in one text."""
 
-    def run(batches):
+    def __init__(self, block: list[tuple[int, str]], rate: float):
         import ahocorasick
 
-        own, share = shared.value
-        limits = [budget(len(text), share) for _, text in own]
+        self.items = block
+        self.limits = [budget(len(text), rate) for _, text in block]
+        self.masks = [bits(text) for _, text in block]
         where: dict[str, list[tuple[int, int]]] = defaultdict(list)
-        for i, (_, text) in enumerate(own):
-            for offset, piece in pieces(text, limits[i]):
+        for i, (_, text) in enumerate(block):
+            for offset, piece in pieces(text, self.limits[i]):
                 where[piece].append((i, offset))
-        machine = ahocorasick.Automaton()
+        self.machine = ahocorasick.Automaton()
         for piece, places in where.items():
-            machine.add_word(piece, (len(piece), places))
+            self.machine.add_word(piece, (len(piece), places))
         if where:
-            machine.make_automaton()
-        masks: dict[int, dict[str, int]] = {}
-
-        def rows(batch):
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                text = normal(text)
-                if not text or not where:
-                    continue
-                starts: dict[int, list[int]] = defaultdict(list)
-                for last, (size, places) in machine.iter(text):
-                    for i, offset in places:
-                        starts[i].append(last + 1 - size - offset)
-                for i, hits in starts.items():
-                    item_id, item = own[i]
-                    edits = limits[i]
-                    if i not in masks:
-                        masks[i] = bits(item)
-                    best = None
-                    for a, b in _stretches(hits, edits, len(item) + edits, len(text)):
-                        got = myers(item, text[a:b], edits, masks[i])
-                        if got and (best is None or got[0] < best[0]):
-                            best = (got[0], a + got[1])
-                    if best:
-                        yield doc_id, item_id, *best
-
-        yield from arrow_batches(schema, rows)(batches)
-
+            self.machine.make_automaton()
+
+    def find(self, text: str | None):
+        """``item_id``, distance and end of the closest stretch, per leaked item."""
+        text = normal(text)
+        if not text or not self.items:
+            return
+        starts: dict[int, list[int]] = defaultdict(list)
+        for last, (size, places) in self.machine.iter(text):
+            for i, offset in places:
+                starts[i].append(last + 1 - size - offset)
+        for i, hits in starts.items():
+            item_id, item = self.items[i]
+            edits, best = self.limits[i], None
+            for a, b in _stretches(hits, edits, len(item) + edits, len(text)):
+                got = myers(item, text[a:b], edits, self.masks[i])
+                if got and (best is None or got[0] < best[0]):
+                    best = (got[0], a + got[1])
+            if best:
+                yield item_id, *best
+
+
+def _known(items: DataFrame) -> list[list[tuple[int, str]]]:
+    rows = items.select("item_id", "text").where("text is not null").toLocalIterator()
+    known = [(r["item_id"], normal(r["text"])) for r in rows]
+    return _blocks([x for x in known if x[1]])
+
+
+def leaks(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
+    """``doc_id``, ``item_id``, ``distance`` and ``stop`` (where the closest stretch of the
+    normalised text ends), one row per document row and item leaked."""
+    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int32()), ("stop", pa.int64())])
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, item_id long, distance int, stop long")
+
+    def search(block) -> DataFrame:
+        shared = docs.sparkSession.sparkContext.broadcast((block, rate))
+
+        def run(batches):
+            finder = Finder(*shared.value)
+
+            def rows(batch):
+                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    for found in finder.find(text):
+                        yield doc_id, *found
+
+            yield from arrow_batches(schema, rows)(batches)
+
+        return narrow.mapInArrow(run, "doc_id long, item_id long, distance int, stop long")
+
+    return reduce(DataFrame.union, map(search, _known(items)))
+
+
+def without_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE, column: str = "text") -> DataFrame:
+    """The rows that leak no item, with all their columns, in one pass per block and without a shuffle."""
+    out = docs
+    for block in _known(items):
+        shared = docs.sparkSession.sparkContext.broadcast((block, rate))
+
+        def run(batches, shared=shared):
+            finder = Finder(*shared.value)
+            for batch in batches:
+                texts = batch.column(batch.schema.get_field_index(column)).to_pylist()
+                clean = pa.array([next(finder.find(t), None) is None for t in texts], pa.bool_())
+                yield batch.filter(clean)
+
+        out = out.mapInArrow(run, docs.schema)
+    return out

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cumulo.llm import context_tree, decontamination, embeddings, packing, pii, quality, sharding, simhash, substrings, token_counts
-from cumulo.session import configure
+from cumulo.llm.common import prepare
 
 # For repeatable checks only: a real run passes a secret of its own.
 KEY = b"pseudonyms of the check tables"
@@ -23,7 +23,7 @@ ORACLES: dict[str, str] = {}
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(run: Query) -> Query:
         def configured(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return run(configure(spark), sf_dir)
+            return run(prepare(spark), sf_dir)
 
         QUERIES[name] = configured
         if sql is not None:
