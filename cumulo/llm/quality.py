@@ -36,6 +36,8 @@ SEEN = 3
 # Words whose weights a task keeps at hand; beyond it the store starts anew.
 KEPT_WORDS = 200_000
 THRESHOLD = 0.5
+# Belief about a given label on bad and on good texts (bad, none, good), as weighty as all given labels.
+GIVEN = ((0.97, 0.0, 0.03), (0.03, 0.0, 0.97))
 # Places of the labellers of each kind in a pattern; the last of each is the given label.
 JUNK, ABUSE = (0, 1, 2, 3, 4, 5, 7), (6, 8)
 
@@ -110,6 +112,8 @@ def estimate(patterns: Counter, rounds: int = 60) -> dict[str, float]:
         for l in range(said.shape[1]):
             use = heard[:, l]
             on = [np.bincount(said[use, l], n[use] * w[use], 3) + 1.0 for w in (bad, 1 - bad)]
+            if l == said.shape[1] - 1:
+                on = [x + n[use].sum() * np.array(belief) for x, belief in zip(on, GIVEN)]
             rates = [x / x.sum() for x in on]
             log_odds[use] += np.log(rates[0][said[use, l]] / rates[1][said[use, l]])
         bad = 1 / (1 + np.exp(-np.clip(log_odds, -30, 30)))
