@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from bisect import bisect_left, bisect_right, insort
 from collections import Counter, defaultdict
 
@@ -26,7 +27,7 @@ from cumulo.llm.common import arrow_batches, numbered
 
 CAPACITY = 1024
 # Units whose ids a task keeps at hand; beyond it the store starts anew.
-KEPT_UNITS = 300_000
+KEPT_UNITS = 600_000
 
 Pattern = dict[int, int]
 Plan = list[tuple[Pattern, int]]
@@ -182,9 +183,10 @@ def slots(packing: Plan) -> list[tuple[int, int, int, int, int, int]]:
 
 # ---- tokens ------------------------------------------------------------------------------------
 
-# A blank between two characters that are not blank always starts a new token.
-_UNIT = re.compile(r"(?<=\S) (?=\S)")
-_UNSAFE = re.compile(r"\s |^ | \s| $")
+# A token always starts at a blank between two characters that are not blank; without double blanks, at
+# every blank.
+_BLANKS = re.compile(r"\s\s|\0")
+_UNIT = re.compile(r"(?<=\S)(?= \S)")
 
 
 def byte_ranks(tokenizer_json: str) -> dict[bytes, int]:
@@ -197,6 +199,31 @@ def byte_ranks(tokenizer_json: str) -> dict[bytes, int]:
     return {bytes(letters[c] for c in t): i for t, i in content["model"]["vocab"].items() if t not in added}
 
 
+class Units(dict):
+    """Ids of texts, put together from those of the units between places where a token must start: at a
+    blank, and at and after a line end. The words of a corpus repeat, so the ids of units are kept."""
+
+    def __init__(self, words: str, ranks: dict[bytes, int]):
+        import tiktoken
+
+        super().__init__()
+        self.coder = tiktoken.Encoding("ranks", pat_str=words, mergeable_ranks=ranks, special_tokens={})
+
+    def __missing__(self, unit: str) -> bytes:
+        found = self.coder.encode_ordinary(unit)
+        ids = self[unit] = struct.pack(f"<{len(found)}I", *found)
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        if len(self) > KEPT_UNITS:
+            self.clear()
+        if _BLANKS.search(text):
+            units = _UNIT.split(text)
+        else:
+            units = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+        return b"".join(map(self.__getitem__, units))
+
+
 def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:
     """Pieces of at most ``capacity`` tokens of every document: ``doc_id``, ``piece``, ``start``,
     ``length`` and ``ids`` (little-endian unsigned 32-bit). Only longer documents are cut; their
@@ -217,32 +244,11 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: in
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
-        import tiktoken
-
-        words, table = shared.value
-        encoding = tiktoken.Encoding("ranks", pat_str=words, mergeable_ranks=table, special_tokens={})
-        known: dict[str, bytes] = {}
-
-        def ids_of(unit: str) -> bytes:
-            return np.array(encoding.encode_ordinary(unit), dtype="<u4").tobytes()
-
-        def of(text: str) -> bytes:
-            if not text:
-                return b""
-            units = _UNIT.split(text) if _UNSAFE.search(text) else text.split(" ")
-            if len(known) > KEPT_UNITS:
-                known.clear()
-            parts = [ids_of(units[0])]
-            for unit in units[1:]:
-                ids = known.get(unit)
-                if ids is None:
-                    ids = known[unit] = ids_of(" " + unit)
-                parts.append(ids)
-            return b"".join(parts)
+        units = Units(*shared.value)
 
         def rows(batch):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = of(text or "") + end
+                ids = units.encode(text or "") + end
                 n = len(ids) // 4
                 first = n % capacity or capacity if n > capacity else n
                 start, piece = 0, 0
