@@ -26,8 +26,8 @@ from pyspark.sql import types as T
 from cumulo.llm.common import arrow_batches, numbered
 
 CAPACITY = 1024
-# Units whose ids a task keeps at hand; beyond it the store starts anew.
-KEPT_UNITS = 600_000
+# Units whose ids a worker keeps at hand; beyond it the store starts anew.
+KEPT_UNITS = 400_000
 
 Pattern = dict[int, int]
 Plan = list[tuple[Pattern, int]]
@@ -237,14 +237,18 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: in
 
     with open(tokenizer_path, encoding="utf-8") as file:
         ranks = byte_ranks(file.read())
-    shared = docs.sparkSession.sparkContext.broadcast((public_tokenizers.PATTERN, ranks))
+    # A worker keeps a broadcast value for all its tasks, and in it the coder and the ids met so far.
+    shared = docs.sparkSession.sparkContext.broadcast((public_tokenizers.PATTERN, ranks, []))
     schema = pa.schema(
         [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())]
     )
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
-        units = Units(*shared.value)
+        words, table, made = shared.value
+        if not made:
+            made.append(Units(words, table))
+        units = made[0]
 
         def rows(batch):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
