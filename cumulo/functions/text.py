@@ -23,7 +23,6 @@ _WHITESPACE = (
 ID_LENGTH = 40
 ID_DEFAULT = "m"
 MESSAGE_LENGTH = 400
-VERBOSE_MESSAGE_LENGTH = 500
 
 # Region requests that stand for "all", and the regions used when the list of
 # enabled regions may not be read.

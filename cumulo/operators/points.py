@@ -11,21 +11,11 @@ from pyspark.sql import functions as F
 from cumulo.functions.text import first_nonblank, json_texts
 from cumulo.functions.time import bucket_seconds, bucket_text, six_places, within_window
 from cumulo.operators.inventory import require_id
+from cumulo.operators.shape import keep_last
 from cumulo.schemas import MetricSpec
 from cumulo.sources.tables import BROADCAST_SPECS, spec_array, spec_frame
 
 INSTANCE_KEYS = ("account_id", "region", "instance_id")
-SERIES_COLUMNS = (
-    "Id",
-    *INSTANCE_KEYS,
-    "volume_id",
-    "metric_name",
-    "namespace",
-    "stat",
-    "period_sec",
-    "interval",
-    "merge_group",
-)
 DEFAULT_PERIOD = 60
 DEFAULT_INTERVAL = "PT1H"
 
@@ -98,6 +88,12 @@ def zip_points(blocks: DataFrame) -> DataFrame:
     )
 
 
+def latest_points(points: DataFrame, arrival: Sequence[str]) -> DataFrame:
+    """The point of each series and time that arrived last: fetch windows overlap, so a point may
+    be landed several times, but counts once. Series are already together after the join."""
+    return keep_last(points, ("Id", "ts"), (*arrival, "position"))
+
+
 def align_points(points: DataFrame) -> DataFrame:
     """Replace the raw time of each point by the start of its series' bucket."""
     start = bucket_seconds(F.col("ts"), F.col("period_sec"), F.col("interval"))

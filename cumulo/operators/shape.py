@@ -79,7 +79,8 @@ def for_clients(df: DataFrame, client_ids: Sequence[str]) -> DataFrame:
 
 
 def client_list(client_id: str, additional_client_id: str = "") -> list[str]:
-    return [client_id, additional_client_id] if additional_client_id else [client_id]
+    """The tenants to write for, each once."""
+    return list(dict.fromkeys([client_id, additional_client_id or client_id]))
 
 
 def limit_to_first(

@@ -7,8 +7,10 @@ several writes consume is staged once in the shared folder.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,11 +31,17 @@ _RUN_LOG = "table_name string, rows_fetched long, rows_merged long, failed long"
 
 @dataclass(frozen=True)
 class Landed:
-    """Folders of landed documents, partitioned by account and region, and of landing errors."""
+    """Folders of landed documents, partitioned by account and region, and of landing errors.
+
+    Folders that are also partitioned by ``run`` are read for the named run only: an instance that
+    is gone keeps its last state, and old landings are not parsed again. Without a run all landed
+    documents are read, and each point counts as it last arrived.
+    """
 
     inventory: str
     metrics: str
     errors: str | None = None
+    run: str | None = None
 
 
 def run_ingest(
@@ -61,12 +69,20 @@ def _ingest_service(
     run_time: dt.datetime,
 ) -> list[tuple]:
     accounts, regions = params.accounts or None, params.regions or None
-    pages = read_inventory_pages(spark, landed.inventory, accounts, regions)
+    scope = (accounts, regions, landed.run)
+    pages = read_inventory_pages(spark, landed.inventory, *scope)
     failures = 0
     if landed.errors:
-        errors = read_error_log(spark, landed.errors).where(F.col("service_name") == service.name)
+        errors = read_error_log(spark, landed.errors, *scope).where(F.col("service_name") == service.name)
         pages = without_failed_scopes(pages, errors)
         failures = hard_failures(errors).count()
+    # A page that does not parse leaves its scope incomplete, like any failure while listing it. Spark
+    # wants a column of content beside the corrupt-record column.
+    broken = pages.where("malformed").groupBy("account_id", "region")
+    broken = broken.agg(F.count("Reservations").alias("read_in_part"), F.count(F.lit(1)).alias("pages"))
+    broken = stage(broken, "broken")
+    failures += broken.agg(F.sum("pages")).first()[0] or 0
+    pages = pages.join(broken, ["account_id", "region"], "left_anti")
     found, fetched = _counted(service.resources(pages))
     resources = stage(keep_last(found, P.INSTANCE_KEYS, ARRIVAL), "resources")
     inventory = stamp(resources, params.client_id, run_time)
@@ -75,14 +91,18 @@ def _ingest_service(
     if service.metrics is None or log[0][1] == 0:
         return log
 
-    results = read_metric_results(spark, landed.metrics, accounts, regions)
+    # Parsed once, with the malformed documents counted on the way.
+    seen = Observation()
+    results = read_metric_results(spark, landed.metrics, *scope)
+    results = results.observe(seen, F.count(F.when(F.col("malformed"), 1)).alias("malformed"))
+    blocks = stage(P.valid_blocks(results), "blocks")
     series = P.expected_series(
         resources, P.attached_volumes(resources), service.instance_specs, service.volume_specs
     )
-    zipped = P.zip_points(P.join_series(P.valid_blocks(results), series))
+    zipped = P.zip_points(P.join_series(blocks, series))
     recent = P.landed_within(zipped, run_time, params.window_days)
     # Instance and volume series part ways from here: parse the documents only once.
-    points = stage(P.align_points(recent), "points")
+    points = stage(P.align_points(P.latest_points(recent, ARRIVAL)), "points")
     merged, fetched = _counted(P.instance_points(points))
     # Repeated buckets go while the rows are still narrow; the last point to arrive stays.
     unique = keep_last(
@@ -92,7 +112,7 @@ def _ingest_service(
         unique, resources, service.specs, service_name=service.name, namespace=service.namespace
     )
     raw = stage(as_stored(stamp(raw, params.client_id, run_time), service.metrics), "raw")
-    log.append(_merge(raw, service.metrics, params, fetched))
+    log.append(_merge(raw, service.metrics, params, fetched, seen.get["malformed"]))
 
     stored = read_raw_metrics(
         spark,
@@ -109,17 +129,25 @@ def _ingest_service(
     return log + [_merge(daily, table, params) for table in DAILY_TABLES]
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+def _counted(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
     """Count the rows on their way through the next write instead of in a job of their own."""
     seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+    def rows() -> int:
+        try:
+            return seen.get["rows"]
+        except Py4JJavaError:
+            # Adaptive execution found the result empty and dropped the plan with its counter.
+            return df.count()
+
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), rows
 
 
 def _merge(
     batch: DataFrame,
     table: Table,
     params: IngestParams,
-    fetched: Observation | None = None,
+    fetched: Callable[[], int] | None = None,
     failures: int = 0,
 ) -> tuple:
     """Merge a staged batch, unique by key, once per tenant; returns its line of the run log."""
@@ -132,5 +160,5 @@ def _merge(
         warehouse=params.warehouse or None,
     )
     merge_batch(for_clients(as_stored(batch, table), clients), name, table)
-    rows_fetched = fetched.get["rows"] if fetched else 0
+    rows_fetched = fetched() if fetched else 0
     return (table.name, rows_fetched, batch.count() * len(clients), failures)

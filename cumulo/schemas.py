@@ -27,10 +27,6 @@ def declared_schema(columns: Mapping[str, str]) -> T.StructType:
     return T.StructType([T.StructField(c, spark_type(t), True) for c, t in columns.items()])
 
 
-def _text_schema(names: str, **other: str) -> T.StructType:
-    return declared_schema({n: other.get(n, "string") for n in names.split()})
-
-
 @dataclass(frozen=True)
 class Table:
     """A stored table: its business key identifies a row, wherever that row is partitioned."""
@@ -68,22 +64,57 @@ INVENTORY = Table(
     "bronze_aws_ec2_instances_v1",
     keys=("client_id", "account_id", "resource_id"),
     partitions=_PARTITIONS,
-    schema=_text_schema(
-        "resource_id instance_id region availability_zone instance_type architecture "
-        "instance_state platform hypervisor monitoring_state launch_time private_ip public_ip "
-        "vpc_id subnet_id tags raw_data client_id account_id cloud_name year_month "
-        "ingestion_timestamp job_runtime_utc",
-        job_runtime_utc="timestamp",
+    schema=declared_schema(
+        {
+            "resource_id": "string",
+            "instance_id": "string",
+            "region": "string",
+            "availability_zone": "string",
+            "instance_type": "string",
+            "architecture": "string",
+            "instance_state": "string",
+            "platform": "string",
+            "hypervisor": "string",
+            "monitoring_state": "string",
+            "launch_time": "string",
+            "private_ip": "string",
+            "public_ip": "string",
+            "vpc_id": "string",
+            "subnet_id": "string",
+            "tags": "string",
+            "raw_data": "string",
+            "client_id": "string",
+            "account_id": "string",
+            "cloud_name": "string",
+            "year_month": "string",
+            "ingestion_timestamp": "string",
+            "job_runtime_utc": "timestamp",
+        }
     ),
     path_suffix="aws/ec2_instances",
 )
 
-METRIC_SCHEMA = _text_schema(
-    "account_id aggregation_type client_id cloud_name date ingestion_timestamp job_runtime_utc "
-    "metric_date metric_name metric_unit metric_value namespace region resource_id resource_name "
-    "service_name unit year_month",
-    job_runtime_utc="timestamp",
-    metric_value="double",
+METRIC_SCHEMA = declared_schema(
+    {
+        "account_id": "string",
+        "aggregation_type": "string",
+        "client_id": "string",
+        "cloud_name": "string",
+        "date": "string",
+        "ingestion_timestamp": "string",
+        "job_runtime_utc": "timestamp",
+        "metric_date": "string",
+        "metric_name": "string",
+        "metric_unit": "string",
+        "metric_value": "double",
+        "namespace": "string",
+        "region": "string",
+        "resource_id": "string",
+        "resource_name": "string",
+        "service_name": "string",
+        "unit": "string",
+        "year_month": "string",
+    }
 )
 
 RAW_METRICS = Table(
@@ -110,24 +141,6 @@ DAILY_METRICS_COPY = Table(
 )
 DAILY_TABLES = (DAILY_METRICS, DAILY_METRICS_COPY)
 
-SERVICE_CATALOG_SCHEMA = T.StructType(
-    [
-        T.StructField("id", T.IntegerType()),
-        T.StructField("service_code", T.StringType()),
-        T.StructField("service_name", T.StringType()),
-        T.StructField("cloud_provider", T.StringType()),
-        T.StructField("category", T.StringType()),
-        T.StructField("iceberg_metrics_table", T.StringType()),
-        T.StructField("iceberg_resources_table", T.StringType()),
-        T.StructField("recommender_class", T.StringType()),
-        T.StructField("sku_json_file", T.StringType()),
-        T.StructField("is_active", T.BooleanType()),
-        T.StructField("display_service_name", T.StringType()),
-        T.StructField("created_at", T.TimestampType()),
-        T.StructField("updated_at", T.TimestampType()),
-    ]
-)
-
 # ---------------------------------------------------------------------------------------------
 # Metric specifications of the compute service
 # ---------------------------------------------------------------------------------------------
@@ -152,37 +165,44 @@ DAILY_INTERVALS = ("P1D", "PT1D")
 # ---------------------------------------------------------------------------------------------
 
 
-def _record(names: str, **nested: T.DataType) -> T.StructType:
-    return T.StructType(
-        [T.StructField(n, nested.get(n, T.StringType()), True) for n in names.split()]
-    )
+def _record(fields: Mapping[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind, True) for name, kind in fields.items()])
 
 
+# The fields read from landed documents, as the interfaces name them.
+_TEXT = T.StringType()
 INSTANCE_DOC = _record(
-    "InstanceId InstanceType Architecture Hypervisor Platform PlatformDetails LaunchTime "
-    "PrivateIpAddress PublicIpAddress VpcId SubnetId State Monitoring Placement Tags "
-    "BlockDeviceMappings NetworkInterfaces",
-    LaunchTime=T.TimestampType(),
-    State=_record("Name"),
-    Monitoring=_record("State"),
-    Placement=_record("AvailabilityZone"),
-    Tags=T.ArrayType(_record("Key Value")),
-    BlockDeviceMappings=T.ArrayType(_record("Ebs", Ebs=_record("VolumeId"))),
-    NetworkInterfaces=T.ArrayType(
-        _record(
-            "PrivateIpAddress SubnetId VpcId Association",
-            Association=_record("PublicIp"),
-        )
-    ),
-)
-PAGE_DOC = _record(
-    "Reservations",
-    Reservations=T.ArrayType(_record("Instances", Instances=T.ArrayType(INSTANCE_DOC))),
+    {
+        "InstanceId": _TEXT,
+        "InstanceType": _TEXT,
+        "Architecture": _TEXT,
+        "Hypervisor": _TEXT,
+        "Platform": _TEXT,
+        "PlatformDetails": _TEXT,
+        "LaunchTime": T.TimestampType(),
+        "PrivateIpAddress": _TEXT,
+        "PublicIpAddress": _TEXT,
+        "VpcId": _TEXT,
+        "SubnetId": _TEXT,
+        "State": _record({"Name": _TEXT}),
+        "Monitoring": _record({"State": _TEXT}),
+        "Placement": _record({"AvailabilityZone": _TEXT}),
+        "Tags": T.ArrayType(_record({"Key": _TEXT, "Value": _TEXT})),
+        "BlockDeviceMappings": T.ArrayType(_record({"Ebs": _record({"VolumeId": _TEXT})})),
+        "NetworkInterfaces": T.ArrayType(
+            _record(
+                {
+                    "PrivateIpAddress": _TEXT,
+                    "SubnetId": _TEXT,
+                    "VpcId": _TEXT,
+                    "Association": _record({"PublicIp": _TEXT}),
+                }
+            )
+        ),
+    }
 )
 RESULT_DOC = _record(
-    "Id Timestamps Values",
-    Timestamps=T.ArrayType(T.TimestampType()),
-    Values=T.ArrayType(T.DoubleType()),
+    {"Id": _TEXT, "Timestamps": T.ArrayType(T.TimestampType()), "Values": T.ArrayType(T.DoubleType())}
 )
 
 

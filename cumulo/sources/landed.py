@@ -33,25 +33,42 @@ _ERROR = T.StructType(
         for name in ("service_name", "account_id", "region", "code", "message")
     ]
 )
-ARRIVAL = ("landed_at", "landed_line")
+# Order of arrival: when the file was landed, then its place among files of one time. Blocks and lines
+# of a file follow each other however it is split.
+ARRIVAL = ("landed_at", "landed_file", "landed_block", "landed_line")
+_CORRUPT = "_corrupt_record"
 
 
-def _read(
-    spark: SparkSession,
-    schema: T.StructType,
-    path: str,
+def _scoped(
+    df: DataFrame,
     accounts: Sequence[str] | None,
     regions: Sequence[str] | None,
+    run: str | None,
 ) -> DataFrame:
-    df = spark.read.schema(schema).json(path)
     if accounts is not None:
         df = df.where(F.col("account_id").isin(*accounts))
     if regions is not None:
         df = df.where(F.col("region").isin(*regions))
-    # Arrival order: time the file was landed, then the line (ids grow with the lines of a file).
-    return df.select(
+    return df if run is None else df.where(F.col("run") == run)
+
+
+def _read(
+    spark: SparkSession,
+    schema: T.StructType,
+    path: str,
+    accounts: Sequence[str] | None,
+    regions: Sequence[str] | None,
+    run: str | None,
+) -> DataFrame:
+    text = T.StringType()
+    extra = [T.StructField(_CORRUPT, text)] + ([] if run is None else [T.StructField("run", text)])
+    df = spark.read.schema(T.StructType(schema.fields + extra)).json(path)
+    return _scoped(df, accounts, regions, run).select(
         *[f.name for f in schema],
+        F.col(_CORRUPT).isNotNull().alias("malformed"),
         F.col("_metadata.file_modification_time").alias("landed_at"),
+        F.col("_metadata.file_path").alias("landed_file"),
+        F.col("_metadata.file_block_start").alias("landed_block"),
         F.monotonically_increasing_id().alias("landed_line"),
     )
 
@@ -61,9 +78,13 @@ def read_inventory_pages(
     path: str,
     accounts: Sequence[str] | None = None,
     regions: Sequence[str] | None = None,
+    run: str | None = None,
 ) -> DataFrame:
-    """Pages under ``path/account_id=…/region=…``; the scope prunes directories."""
-    return _read(spark, _PAGE, path, accounts, regions)
+    """Pages under ``path/[run=…/]account_id=…/region=…``; run and scope prune directories.
+
+    A document that does not parse is a row with ``malformed`` set and without content.
+    """
+    return _read(spark, _PAGE, path, accounts, regions, run)
 
 
 def read_metric_results(
@@ -71,14 +92,22 @@ def read_metric_results(
     path: str,
     accounts: Sequence[str] | None = None,
     regions: Sequence[str] | None = None,
+    run: str | None = None,
 ) -> DataFrame:
-    """Result blocks under ``path/account_id=…/region=…``: ``Id``, ``Timestamps``, ``Values``.
+    """Result blocks under ``path/[run=…/]account_id=…/region=…``: ``Id``, ``Timestamps``, ``Values``.
 
-    Further pages of a result are simply further rows.
+    Further pages of a result are simply further rows; malformed ones are marked as in pages.
     """
-    return _read(spark, _RESULT, path, accounts, regions)
+    return _read(spark, _RESULT, path, accounts, regions, run)
 
 
-def read_error_log(spark: SparkSession, path: str) -> DataFrame:
-    """Errors met while landing: service, account, region, code and message."""
-    return spark.read.schema(_ERROR).json(path)
+def read_error_log(
+    spark: SparkSession,
+    path: str,
+    accounts: Sequence[str] | None = None,
+    regions: Sequence[str] | None = None,
+    run: str | None = None,
+) -> DataFrame:
+    """Errors met while landing: service, account, region, code and message, of one run if named."""
+    schema = _ERROR if run is None else T.StructType([*_ERROR.fields, T.StructField("run", T.StringType())])
+    return _scoped(spark.read.schema(schema).json(path), accounts, regions, run).select(*_ERROR.fieldNames())

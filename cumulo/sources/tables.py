@@ -78,13 +78,15 @@ def read_raw_metrics(
 ) -> DataFrame:
     """Raw points of a tenant's accounts that the daily roll-up looks back on.
 
-    Client and account are partition columns, so they prune directories. The month partition
-    holds the ingestion month and says nothing about the metric date.
+    Client and account are partition columns, so they prune directories. So does the month: a point
+    is ingested after its date, hence in no earlier month.
     """
     df = read_if_exists(spark, name, table.schema).where(F.col("client_id") == client_id)
     if accounts is not None:
         df = df.where(F.col("account_id").isin(*accounts))
-    return df.where(looks_back(service_name, as_of, window_days))
+    first_month = (as_of - dt.timedelta(days=window_days)).strftime("%Y-%m")
+    recent = (F.col("year_month") >= first_month) | F.col("year_month").isNull()
+    return df.where(recent & looks_back(service_name, as_of, window_days))
 
 
 def looks_back(service_name: str, as_of: dt.date, window_days: int) -> Column:

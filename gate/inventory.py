@@ -11,9 +11,9 @@ from cumulo.operators import points as P
 from cumulo.operators import shape as S
 from cumulo.schemas import INSTANCE_DOC, INVENTORY
 from cumulo.session import scratch_dir
-from cumulo.sources.landed import read_inventory_pages, read_metric_results
+from cumulo.sources.landed import ARRIVAL, read_inventory_pages, read_metric_results
 from gate import roles as G
-from gate.registry import query, table
+from gate.registry import comparable, query, sql_comparable, table
 
 # One SQL expression per inventory column, over the ``inst`` rows.
 _SQL = {
@@ -47,10 +47,26 @@ _SQL = {
         ELSE '["vol-' || o_orderkey || '-a","vol-' || o_orderkey || '-b"]' END""",
 }
 _FLAT = (
-    "resource_id instance_id account_id region availability_zone instance_type architecture "
-    "instance_state platform hypervisor monitoring_state launch_time private_ip public_ip vpc_id "
-    "subnet_id tags resource_name ebs_volume_ids"
-).split()
+    "resource_id",
+    "instance_id",
+    "account_id",
+    "region",
+    "availability_zone",
+    "instance_type",
+    "architecture",
+    "instance_state",
+    "platform",
+    "hypervisor",
+    "monitoring_state",
+    "launch_time",
+    "private_ip",
+    "public_ip",
+    "vpc_id",
+    "subnet_id",
+    "tags",
+    "resource_name",
+    "ebs_volume_ids",
+)
 
 
 def _sql_select(*columns, key="o_orderkey", where="true"):
@@ -85,6 +101,76 @@ def scan_inventory_pages(spark, sf_dir):
     return I.flatten_instances(I.unnest_instances(pages)).select(*_FLAT)
 
 
+@query(
+    "malformed_documents",
+    """
+SELECT lpad(CAST(c_nationkey AS VARCHAR), 12, '0') AS account_id, c_custkey % 7 = 0 AS malformed,
+       count(*) AS documents, count(*) FILTER (c_custkey % 7 <> 0) AS instances
+FROM customer GROUP BY ALL
+""",
+)
+def malformed_documents(spark, sf_dir):
+    """Every seventh page is cut off: it is a marked row without instances, not a lost one."""
+    path = scratch_dir(spark, "broken")
+    key = F.col("c_custkey").cast("string")
+    page = F.concat(F.lit('{"Reservations": [{"Instances": [{"InstanceId": "i-'), key, F.lit('"}]}]}'))
+    cut = F.when(F.col("c_custkey") % 7 == 0, F.substring(page, 1, 40)).otherwise(page)
+    account = F.lpad(F.col("c_nationkey").cast("string"), 12, "0").alias("account_id")
+    landed = table(spark, sf_dir, "customer").select(account, F.lit("r").alias("region"), cut.alias("value"))
+    landed.hint("rebalance", "account_id", "region").write.partitionBy("account_id", "region").text(path)
+    pages = read_inventory_pages(spark, path)
+    instances = F.when(~F.col("malformed"), F.size(F.col("Reservations")[0]["Instances"])).otherwise(0)
+    return pages.groupBy("account_id", "malformed").agg(
+        F.count(F.lit(1)).alias("documents"), F.sum(instances).cast("long").alias("instances")
+    )
+
+
+@query(
+    "repeated_landing",
+    f"""
+WITH once AS (
+  SELECT user_id, event_type, ts, round(value, 6) AS value FROM events WHERE event_type <> 'error' AND value >= 1
+  QUALIFY row_number() OVER (PARTITION BY user_id, event_type, ts ORDER BY event_id DESC) = 1)
+SELECT CAST(user_id AS VARCHAR) AS instance_id, event_type AS metric_name, strftime(ts, '%Y-%m-%d') AS day,
+       {sql_comparable('sum(value)')} AS metric_value
+FROM once GROUP BY ALL
+""",
+)
+def repeated_landing(spark, sf_dir):
+    """Volume points that two overlapping runs landed are summed once."""
+    path = scratch_dir(spark, "repeated")
+    part = F.split("Id", "[|]")
+    landed = G.result_blocks(spark, sf_dir).select(
+        "Id",
+        "Timestamps",
+        "Values",
+        F.explode(F.array(F.lit("1"), F.lit("2"))).alias("run"),
+        F.lit(G.ACCOUNT).alias("account_id"),
+        F.lit(G.REGION).alias("region"),
+    )
+    landed.hint("rebalance", "run").write.partitionBy("run", "account_id", "region").option(
+        "timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+    ).json(path)
+    points = P.zip_points(P.valid_blocks(read_metric_results(spark, path))).withColumns(
+        {
+            "instance_id": part[0],
+            "metric_name": part[1],
+            "namespace": F.lit("n"),
+            "stat": F.lit("Sum"),
+            "period_sec": F.lit(86400),
+            "interval": F.lit("P1D"),
+            "merge_group": F.lit("g"),
+        }
+    )
+    summed = P.sum_volumes(P.align_points(P.latest_points(points, ARRIVAL)))
+    return summed.select(
+        "instance_id",
+        "metric_name",
+        F.date_format(F.timestamp_seconds("bucket"), "yyyy-MM-dd").alias("day"),
+        comparable(F.col("metric_value")).alias("metric_value"),
+    )
+
+
 @query(
     "scan_metric_results",
     f"""

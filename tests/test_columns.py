@@ -186,3 +186,9 @@ def test_parse_params():
     assert got.accounts == ("444455556666", "111122223333")
     assert got.window_days == 3
     assert parse_params({"CLIENT_ID": "c", "ICEBERG_DATABASE": "d", "ACTIVE_SERVICES": "all"}).services == ()
+    lake = {"CLIENT_ID": "c", "ICEBERG_DATABASE": "d", "ICEBERG_CATALOG": "cat", "S3_BUCKET": "b"}
+    got = parse_params(lake | {"AWS_ACCOUNT_ID": "111122223333"})
+    assert (got.provider, got.database, got.warehouse) == ("iceberg", "cat.d", "s3://b/warehouse")
+    assert got.accounts == ("111122223333",)
+    named = parse_params(lake | {"AWS_ACCOUNT_ID": "111122223333", "ACCOUNT_IDS": "444455556666"})
+    assert named.accounts == ("444455556666",)

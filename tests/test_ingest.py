@@ -6,8 +6,12 @@ import json
 import pytest
 
 from cumulo.operators.reports import run_totals
+from cumulo.operators.shape import keep_last
 from cumulo.plans.ingest import Landed, run_ingest
 from cumulo.plans.params import IngestParams
+from cumulo.schemas import RAW_METRICS
+from cumulo.sources.landed import ARRIVAL, read_metric_results
+from cumulo.sources.tables import read_raw_metrics
 
 ACCOUNTS = ("111122223333", "444455556666")
 
@@ -118,3 +122,85 @@ def test_instances_without_points(spark, database, landed, run_time, tmp_path):
         "test_bronze_aws_metrics": (0, 4),
         "bronze_aws_daily_metrics": (0, 4),
     }
+
+
+def test_points_landed_again_count_once(spark, database, landed, run_time, tmp_path):
+    """Three runs fetch the same window; volumes are summed over what arrived last."""
+    scope = f"account_id={ACCOUNTS[0]}/region=eu-west-1"
+    again = [
+        {"Id": f"{ACCOUNTS[0]}/eu-west-1/i-1/{v}/VolumeReadOps/Sum/86400", "Timestamps": ["2024-01-30T00:00:00Z"], "Values": [x]}
+        for v, x in (("v-1", 1.5), ("v-2", 2.25))
+    ]
+    for name in ("m2.json", "m3.json"):
+        land(tmp_path / "metrics" / scope, name, again)
+    run_ingest(spark, IngestParams("c1", database), landed, run_time)
+    stored = spark.table(f"{database}.bronze_aws_metrics_v1").where("metric_name = 'VolumeReadOps'")
+    assert {r.metric_value for r in stored.collect()} == {3.75}
+
+
+def test_a_run_reads_its_own_landing(spark, database, landed, run_time, tmp_path):
+    scope = f"account_id={ACCOUNTS[0]}/region=eu-west-1"
+    for run, ids in (("r1", ("i-1", "i-2")), ("r2", ("i-1",))):
+        pages = [{"Reservations": [{"Instances": [{"InstanceId": i} for i in ids]}]}]
+        land(tmp_path / "runs" / f"run={run}" / scope, "p.json", pages)
+        land(tmp_path / "results" / f"run={run}" / scope, "m.json", [{"Id": "other", "Timestamps": [], "Values": []}])
+        folders = Landed(str(tmp_path / "runs"), str(tmp_path / "results"), run=run)
+        month = run_time if run == "r1" else run_time + dt.timedelta(days=40)
+        run_ingest(spark, IngestParams("c1", database), folders, month)
+    stored = spark.table(f"{database}.bronze_aws_ec2_instances_v1").collect()
+    assert {(r.instance_id, r.year_month) for r in stored} == {("i-1", "2024-03"), ("i-2", "2024-02")}
+
+
+def test_broken_pages_fail_their_scope(spark, database, landed, run_time, tmp_path):
+    scope = f"account_id={ACCOUNTS[0]}/region=eu-west-1"
+    (tmp_path / "inventory" / scope / "q.json").write_text('{"Reservations": [{"Instances": [{"InstanceId": "i-9"')
+    (tmp_path / "metrics" / scope / "q.json").write_text('{"Id": "x", "Timestamps": [')
+    log = {r.table_name: r for r in run_ingest(spark, IngestParams("c1", database), landed, run_time).collect()}
+    assert (log["bronze_aws_ec2_instances_v1"].rows_fetched, log["bronze_aws_ec2_instances_v1"].failed) == (1, 1)
+    assert log["bronze_aws_metrics_v1"].failed == 1
+    stored = spark.table(f"{database}.bronze_aws_ec2_instances_v1")
+    assert [r.account_id for r in stored.collect()] == [ACCOUNTS[1]]
+
+
+def test_errors_of_other_accounts_do_not_count(spark, database, landed, run_time, tmp_path):
+    errors = [{"service_name": "EC2", "account_id": ACCOUNTS[0], "region": "eu-west-1", "code": "InvalidRequest"}]
+    land(tmp_path / "errors", "e.json", errors)
+    logged = Landed(landed.inventory, landed.metrics, str(tmp_path / "errors"))
+    log = run_ingest(spark, IngestParams("c1", database, accounts=(ACCOUNTS[1],)), logged, run_time).first()
+    assert (log.rows_fetched, log.failed) == (1, 0)
+
+
+def test_a_tenant_named_twice_is_served_once(spark, database, landed, run_time):
+    run_ingest(spark, IngestParams("c1", database, additional_client_id="c1"), landed, run_time)
+    for table, keys in (("bronze_aws_ec2_instances_v1", 2), ("bronze_aws_daily_metrics", 4)):
+        assert spark.table(f"{database}.{table}").count() == keys
+
+
+def test_arrival_order_does_not_follow_splits(spark, tmp_path):
+    """Files of one time: the same winners however they are split."""
+    import os
+
+    for name, value in (("a.json", 1.0), ("b.json", 2.0)):
+        land(tmp_path / "account_id=1/region=r", name, [{"Id": str(i), "Values": [value]} for i in range(3000)])
+        os.utime(tmp_path / "account_id=1/region=r" / name, (1_700_000_000, 1_700_000_000))
+    winners = []
+    for size in ("128m", "10k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        last = keep_last(read_metric_results(spark, str(tmp_path)), ["Id"], ARRIVAL)
+        winners.append({(r.Id, r.Values[0]) for r in last.collect()})
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert winners[0] == winners[1] == {(str(i), 2.0) for i in range(3000)}
+
+
+def test_runs_and_months_prune_directories(spark, database, landed, tmp_path):
+    from cumulo.operators.upsert import ensure_table
+
+    land(tmp_path / "runs/run=r1/account_id=1/region=r", "m.json", [{"Id": "a"}])
+    plan = read_metric_results(spark, str(tmp_path / "runs"), run="r1")._jdf.queryExecution().executedPlan().toString()
+    assert "run" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    name = ensure_table(spark, database, RAW_METRICS)
+    stored = read_raw_metrics(
+        spark, name, RAW_METRICS, client_id="c", service_name="EC2", as_of=dt.date(2024, 2, 3), window_days=7
+    )
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "2024-01" in plan.split("PartitionFilters: [")[1].split("]")[0]

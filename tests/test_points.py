@@ -81,7 +81,7 @@ def test_expected_series(spark, rows):
     volumes = P.attached_volumes(inventory)
     assert rows(volumes.select("volume_id")) == [("v-1",), ("v-2",)]
     got = P.expected_series(inventory, volumes, INSTANCE_SPECS, VOLUME_SPECS)
-    assert got.columns == list(P.SERIES_COLUMNS)
+    assert got.columns == ["Id", *P.INSTANCE_KEYS, "volume_id", "metric_name", "namespace", "stat", "period_sec", "interval", "merge_group"]
     counts = {r.volume_id: r["count"] for r in got.groupBy("volume_id").count().collect()}
     assert counts == {"": 12, "v-1": 4, "v-2": 4}
     assert got.select("Id").distinct().count() == 20
