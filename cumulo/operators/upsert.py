@@ -5,7 +5,7 @@ a matched row are rewritten (copy-on-write):
 
 1. the batch is made unique by key and staged;
 2. one scan of the target's key and partition columns, restricted to the batch's (client,
-   account) directories, finds the partitions with a matched row;
+   account) directories and the months its dates allow, finds the partitions with a matched row;
 3. batch rows of all other partitions are appended;
 4. the matched partitions without their matched rows, plus their batch rows, are staged;
 5. the staged rows replace those partitions, and partitions left without rows are dropped:
@@ -211,6 +211,20 @@ def _lies_in(partitions: set[Row], columns: Sequence[str], schema: T.StructType)
     return F.expr(f"{row(_quoted)} in ({wanted})")
 
 
+def _possible_months(batch: DataFrame, table: Table) -> Column:
+    """The months in which rows with the batch's keys can be stored, as a plain partition bound."""
+    if not table.dated_by:
+        return F.lit(True)
+    month = F.substring(table.dated_by, 1, 7)
+    first, last = batch.agg(F.min(month), F.max(month)).first()
+    if first is None:
+        return F.lit(True)
+    bound = F.col("year_month") >= first
+    if table.same_month:
+        bound = bound & (F.col("year_month") <= last)
+    return bound | F.col("year_month").isNull()
+
+
 def _rewrite_partitions(batch: DataFrame, name: str, table: Table) -> None:
     spark = batch.sparkSession
     spark.catalog.refreshTable(name)
@@ -225,6 +239,7 @@ def _rewrite_partitions(batch: DataFrame, name: str, table: Table) -> None:
     nearby = target
     if fixed:
         nearby = target.where(_lies_in(_partition_list(batch, fixed), fixed, table.schema))
+    nearby = nearby.where(_possible_months(batch, table))
     rewritten: set[Row] = set()
     if not nearby.isEmpty():
         columns = list(dict.fromkeys([*table.keys, *table.partitions]))

@@ -29,13 +29,19 @@ def declared_schema(columns: Mapping[str, str]) -> T.StructType:
 
 @dataclass(frozen=True)
 class Table:
-    """A stored table: its business key identifies a row, wherever that row is partitioned."""
+    """A stored table: its business key identifies a row, wherever that row is partitioned.
+
+    ``dated_by`` is a key column whose month bounds the month partition from below: rows are stored in
+    that month (``same_month``) or, by ingestion, in a later one.
+    """
 
     name: str
     keys: tuple[str, ...]
     partitions: tuple[str, ...]
     schema: T.StructType
     path_suffix: str = ""
+    dated_by: str = ""
+    same_month: bool = False
 
     @property
     def columns(self) -> list[str]:
@@ -123,6 +129,7 @@ RAW_METRICS = Table(
     partitions=_PARTITIONS,
     schema=METRIC_SCHEMA,
     path_suffix="aws/ec2_metrics",
+    dated_by="date",
 )
 
 _DAILY_KEYS = (
@@ -134,10 +141,10 @@ _DAILY_KEYS = (
     "aggregation_type",
 )
 DAILY_METRICS = Table(
-    "test_bronze_aws_metrics", _DAILY_KEYS, _PARTITIONS, METRIC_SCHEMA, "aws/metrics_daily"
+    "test_bronze_aws_metrics", _DAILY_KEYS, _PARTITIONS, METRIC_SCHEMA, "aws/metrics_daily", "metric_date", True
 )
 DAILY_METRICS_COPY = Table(
-    "bronze_aws_daily_metrics", _DAILY_KEYS, _PARTITIONS, METRIC_SCHEMA, "aws/daily_metrics"
+    "bronze_aws_daily_metrics", _DAILY_KEYS, _PARTITIONS, METRIC_SCHEMA, "aws/daily_metrics", "metric_date", True
 )
 DAILY_TABLES = (DAILY_METRICS, DAILY_METRICS_COPY)
 
