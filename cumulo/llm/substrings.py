@@ -30,7 +30,7 @@ COVER = (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
 # Entries that a task holds before it settles and sends them, and entries meant for one bucket.
 PAGE = 400_000
-BUCKET = 4_000_000
+BUCKET = 2_500_000
 # Bytes of text per word, for the number of buckets.
 WORD_BYTES = 6
 MIN_BUCKETS = 16
@@ -172,9 +172,9 @@ def _read(table: pa.Table) -> tuple[np.ndarray, ...]:
         runs = row["runs"]
         parts.append(
             (
-                np.full(len(first), row["kind"]),
+                np.full(len(first), row["kind"], dtype=np.int8),
                 np.repeat(np.array(row["ids"], dtype=np.int64), runs),
-                np.repeat(np.array(row["checks"], dtype=np.int64), runs),
+                np.repeat(np.array(row["checks"], dtype=np.uint32), runs),
                 first,
                 np.frombuffer(row["second"], dtype=np.uint32),
                 np.frombuffer(row["places"], dtype=np.uint32),
@@ -188,7 +188,7 @@ def _by_document(ids: np.ndarray, checks: np.ndarray, values: np.ndarray) -> pa.
     cuts = np.flatnonzero(new)
     values = values[order]
     blobs = [values[a:z].tobytes() for a, z in zip(cuts, np.append(cuts[1:], len(order)))]
-    return pa.table([ids[order][new], checks[order][new], pa.array(blobs, pa.binary())], schema=_FOUND_ARROW)
+    return pa.table([ids[order][new], checks[order][new].astype(np.int64), pa.array(blobs, pa.binary())], schema=_FOUND_ARROW)
 
 
 def _common_anchors(table: pa.Table) -> pa.Table:
