@@ -1,0 +1,67 @@
+"""The near-duplicate stage against all pairs of five-word shingle sets."""
+
+import random
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from cumulo.llm import near_copies, simhash
+
+from test_texts import components
+
+
+def plain_set(text):
+    own = (text or "").encode().lower().split()
+    return {b" ".join(own[i : i + 5]) for i in range(max(1, len(own) - 4))} if own else set()
+
+
+def plain_similar(a, b):
+    return a == b or 5 * len(a & b) >= 4 * len(a | b)
+
+
+@pytest.fixture(scope="module")
+def edited():
+    """Groups of texts with a few words changed, around the least similarity, one of them large; a line
+    that all of them share."""
+    draw = random.Random(3)
+    line = " ".join(f"common{i}" for i in range(12))
+    rows = []
+    for group in range(14):
+        base = [f"w{draw.randrange(3000)}" for _ in range(draw.randint(20, 160))]
+        for _ in range(40 if group == 0 else 5):
+            own = list(base)
+            for _ in range(draw.randint(0, max(1, len(base) // 30))):
+                own[draw.randrange(len(own))] = f"x{draw.randrange(10**6)}"
+            rows.append((len(rows), line + "\n" + " ".join(own)))
+    return rows + [(900, None), (901, " "), (902, "a b"), (903, "A  b"), (904, line)]
+
+
+@pytest.mark.parametrize("often", [2, 10**9])
+def test_links_are_those_of_all_pairs(spark, edited, monkeypatch, often):
+    monkeypatch.setattr(near_copies, "OFTEN", often)
+    sets = {d: plain_set(t) for d, t in edited}
+    low = components(list(sets), lambda a, b: plain_similar(sets[a], sets[b]))
+    frame = spark.createDataFrame(edited, "doc_id long, text string").repartition(4)
+    assert {r.doc_id: r.component_id for r in near_copies.near_duplicates(frame).collect()} == low
+
+
+def test_stage_drops_edited_copies(spark, edited):
+    sets = {d: plain_set(t) for d, t in edited}
+    low = components(list(sets), lambda a, b: plain_similar(sets[a], sets[b]))
+    prints = {d: simhash.fingerprint((t or "").encode()) for d, t in edited}
+    assert sum((prints[d] ^ prints[low[d]]).bit_count() > 2 for d in low) > 20
+    frame = spark.createDataFrame(edited, "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.deduplicate(spark, frame, "").collect()} == set(low.values())
+
+
+def test_least_similarity_counts():
+    own = np.arange(9, dtype=np.uint64)
+    assert near_copies.similar(own, own[:8]) and near_copies.similar(own[:5], own[1:5])
+    assert not near_copies.similar(own[:8], own[1:]) and not near_copies.similar(own[:0], own[:0])
+
+
+def test_odd_rows(odd, empty):
+    found = near_copies.near_duplicates(odd).collect()
+    assert sorted((r.doc_id or 0, r.component_id or 0) for r in found) == [(0, 0), (7, 7), (7, 7), (7, 7)]
+    assert near_copies.near_duplicates(empty).collect() == []
