@@ -8,7 +8,8 @@ extended to all 13 words and compared.
 
 Both comparisons go through buckets of the hash. A task first settles what it can among its own
 documents and sends on one entry per hash (and first document), so a passage that very many
-documents share costs one entry per task, and buckets stay even. Their number grows with the text.
+documents share costs one entry per task, and buckets stay even; what it has settled is spread over
+them by document. Their number grows with the text.
 
 A null text has no words. A row without an id is never a source and keeps its words. Rows with one id
 and different texts are told apart; a window that only recurs under the same id stays. An empty
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -137,6 +139,15 @@ def _bucket(first: np.ndarray, buckets: int) -> np.ndarray:
     return (first >> np.uint64(33)).astype(np.int64) % buckets
 
 
+def _settled(page: _Page, doc: np.ndarray, buckets: int, turn: int) -> np.ndarray:
+    """Any bucket does for settled entries: one by their document and by the page, so that neither the
+    pages of many tasks nor the repeats of one row meet."""
+    mixed = np.array(page.ids, dtype=np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= np.array(page.checks, dtype=np.uint64) + (np.uint64(turn) << np.uint64(32))
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return _bucket(mixed ^ (mixed >> np.uint64(32)), buckets)[doc]
+
+
 def _anchor_rows(page: _Page, buckets: int, turn: int):
     doc, first, _, _ = page.columns()
     order, new = _groups(first)
@@ -148,7 +159,7 @@ def _anchor_rows(page: _Page, buckets: int, turn: int):
     once, met = head & ~common, head & common
     yield from page.rows(OPEN, _bucket(first[once], buckets), doc[once], first[once])
     yield from page.rows(COMMON, _bucket(first[met], buckets), doc[met], first[met])
-    yield from page.rows(SETTLED, np.full(common.sum(), turn % buckets), doc[common], first[common])
+    yield from page.rows(SETTLED, _settled(page, doc[common], buckets, turn), doc[common], first[common])
 
 
 def _window_rows(page: _Page, buckets: int, turn: int):
@@ -161,7 +172,7 @@ def _window_rows(page: _Page, buckets: int, turn: int):
     later[order] = ids[order] > lowest[group]
     least = ~later
     yield from page.rows(OPEN, _bucket(first[least], buckets), doc[least], first[least], second[least], places[least])
-    yield from page.rows(SETTLED, np.full(later.sum(), turn % buckets), doc[later], first[later], second[later], places[later])
+    yield from page.rows(SETTLED, _settled(page, doc[later], buckets, turn), doc[later], first[later], second[later], places[later])
 
 
 def _read(table: pa.Table) -> tuple[np.ndarray, ...]:
@@ -220,7 +231,8 @@ def _paged(entries, settle, buckets: int):
     """A ``mapInArrow`` function: entries of each document, settled and sent page by page."""
 
     def run(batches):
-        page, turn = _Page(), 0
+        task = TaskContext.get()
+        page, turn = _Page(), (task.partitionId() if task else 0) << 16
         for batch in batches:
             for row in entries(batch):
                 if len(row[2]):

@@ -216,6 +216,31 @@ def test_repeats_across_pages_and_buckets(docs, texts, rows, monkeypatch):
     assert rows(substrings.remove_repeats(few)) == kept_by_brute_force([t for t in texts if t[0] != 307])
 
 
+@pytest.mark.parametrize("step", [substrings._anchor_rows, substrings._window_rows])
+def test_settled_entries_of_many_tasks_are_spread(step):
+    hashes = np.arange(50, dtype=np.uint64) << np.uint64(40)
+    held = collections.Counter()
+    for task in range(40):
+        page = substrings._Page()
+        for own in range(8):
+            page.add(task * 8 + own, own, hashes, hashes.astype(np.uint32), np.arange(50))
+        for bucket, kind, _, _, runs, *_ in step(page, 16, 0):
+            held[bucket] += sum(runs) * (kind == substrings.SETTLED)
+    assert sum(held.values()) >= 40 * 7 * 50 and max(held.values()) < 3 * sum(held.values()) / 16
+
+
+def test_settled_entries_of_one_repeated_row_are_spread():
+    hashes = np.arange(50, dtype=np.uint64) << np.uint64(40)
+    held = collections.Counter()
+    for task in range(200):
+        page = substrings._Page()
+        page.add(1, 5, hashes, hashes.astype(np.uint32), np.arange(50))
+        page.add(2, 5, hashes, hashes.astype(np.uint32), np.arange(50))
+        for bucket, kind, _, _, runs, *_ in substrings._anchor_rows(page, 16, task << 16):
+            held[bucket] += sum(runs) * (kind == substrings.SETTLED)
+    assert max(held.values()) < 3 * sum(held.values()) / 16
+
+
 # ---- decontamination ---------------------------------------------------------------------------
 
 
