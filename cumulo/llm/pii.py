@@ -100,6 +100,14 @@ def remainder_97(account: str) -> bool:
     return int("".join(str(int(c, 36)) for c in account[4:] + account[:4])) % 97 == 1
 
 
+def card(digits: str) -> bool:
+    return 13 <= len(digits) <= 19 and digits[0] in "23456" and len(set(digits)) > 1 and luhn(digits)
+
+
+def iban(account: str) -> bool:
+    return 15 <= len(account) <= 34 and remainder_97(account)
+
+
 def social(digits: str) -> bool:
     area, group, serial = digits[:3], digits[3:5], digits[5:]
     return area not in ("000", "666") and area < "900" and group != "00" and serial != "0000"
@@ -127,7 +135,7 @@ def _email(value: str, key: bytes) -> str:
 
 def _card(value: str, key: bytes) -> str:
     digits = _bare(value)
-    if not luhn(digits) or digits[0] not in "23456" or not 13 <= len(digits) <= 19 or len(set(digits)) == 1:
+    if not card(digits):
         return value
     # The last digit follows from the rest, so only that is permuted.
     body = digits[0] + disguise(digits[1:-1], key, f"card{digits[0]}")
@@ -146,7 +154,7 @@ def _phone(value: str, key: bytes) -> str:
 
 def _iban(value: str, key: bytes) -> str:
     account = _bare(value)
-    if not 15 <= len(account) <= 34 or not remainder_97(account):
+    if not iban(account):
         return value
     # The check digits follow from the rest, so only that is permuted.
     body = disguise(account[4:], key, f"iban{account[:2]}")
@@ -231,25 +239,37 @@ def pseudonym(kind: str, value: str, key: bytes) -> str:
     return {"secret": _secret, "iban": _iban, "day": _day, "phone": _phone, "card": _card, "address": _address}[kind](value, key)
 
 
+def reading(kind: str, value: str) -> tuple[int, bool]:
+    """How much of a match is taken, and whether it is a value. Of a card or account number that runs
+    into its neighbours, the longest part from its start to the end of a group that passes the check;
+    without one the first group is passed over, and the search goes on behind it."""
+    if kind not in ("card", "iban"):
+        return len(value), True
+    ends = [m.end() for m in re.finditer(r"[A-Z0-9]+", value)]
+    valid = card if kind == "card" else iban
+    return next(((end, True) for end in reversed(ends) if valid(_bare(value[:end]))), (ends[0], False))
+
+
 def replace(text: str, key: bytes) -> tuple[str, int]:
     """The text with pseudonyms and how many values were replaced."""
     if not _HINT.search(text):
         return text, 0
     found = 0
-
-    def one(match: re.Match) -> str:
-        nonlocal found
-        kind = next(k for k in _FORMS if match[k])
-        start, stop = match.span("hidden" if kind == "secret" else kind)
-        old = text_of[start:stop]
-        new = pseudonym(kind, old, key)
-        found += new != old
-        return text_of[match.start() : start] + new + text_of[stop : match.end()]
-
     lines = text.split("\n")
-    for i, text_of in enumerate(lines):
-        if _HINT.search(text_of):
-            lines[i] = _ANY.sub(one, text_of)
+    for i, line in enumerate(lines):
+        if not _HINT.search(line):
+            continue
+        out, at = [], 0
+        while match := _ANY.search(line, at):
+            kind = next(k for k in _FORMS if match[k])
+            start, stop = match.span("hidden" if kind == "secret" else kind)
+            size, valid = reading(kind, line[start:stop])
+            old = line[start : start + size]
+            new = pseudonym(kind, old, key) if valid else old
+            found += new != old
+            out += [line[at:start], new]
+            at = start + size
+        lines[i] = "".join([*out, line[at:]])
     return "\n".join(lines), found
 
 

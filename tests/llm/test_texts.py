@@ -483,6 +483,18 @@ def test_invalid_values_stay(text):
     assert pii.replace(text, KEY) == (text, 0)
 
 
+@pytest.mark.parametrize(
+    "value, line",
+    [
+        ("4111 1111 1111 1111", "{} 12/27"), ("4111111111111111", "{} 123"), ("4111111111111111", "order 12 {}"),
+        ("4111-1111-1111-1111", "12 {} 99"), ("BE68 5390 0754 7034", "{} BIC"), ("BE68 5390 0754 7034", "{} BANK OF"),
+    ],
+)
+def test_values_beside_other_words(value, line):
+    alone, _ = pii.replace(value, KEY)
+    assert alone != value and pii.replace(line.format(value), KEY) == (line.format(alone), 1)
+
+
 def test_pseudonyms_of_rows(odd, empty, spark):
     got = pii.pseudonymize(odd, KEY)
     assert got.columns == [*odd.columns, "n_replaced"] and {r.n_replaced for r in got.collect()} == {0}
