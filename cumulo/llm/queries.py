@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cumulo.llm import context_tree, decontamination, embeddings, packing, pii, quality, sharding, simhash, substrings, token_counts
+from cumulo.llm import context_tree, decontamination, embeddings, packing, pii, quality, sharding, simhash, substrings, token_counts, whitening
 from cumulo.llm.common import prepare
 
 # For repeatable checks only: a real run passes a secret of its own.
@@ -123,3 +123,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op13_contour_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
