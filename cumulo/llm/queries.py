@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cumulo.llm import context_tree, decontamination, embeddings, packing, pii, quality, sharding, simhash, substrings, token_counts, whitening
+from cumulo.llm import context_tree, decontamination, embeddings, packing, phrases, pii, quality, sharding, simhash, substrings, token_counts, whitening
 from cumulo.llm.common import prepare
 
 # For repeatable checks only: a real run passes a secret of its own.
@@ -129,3 +129,45 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     return found.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+@query(
+    "op12_hat_trie_phrases",
+    r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+    ), words AS (
+        SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+    ), totals AS (
+        SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang
+    ), grams AS (
+        SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS g, count(*)::BIGINT AS f
+        FROM words, (VALUES (1), (2), (3)) AS s(k), LATERAL unnest(range(1, len(w) - k + 2)) AS r(i)
+        GROUP BY ALL HAVING count(*) >= 10
+    ), parted AS (
+        SELECT g.lang, g.g, g.f AS a, c.k AS cut, array_to_string(string_split(g.g, ' ')[1 : c.k], ' ') AS head,
+               array_to_string(string_split(g.g, ' ')[c.k + 1 : g.k], ' ') AS rest
+        FROM grams AS g JOIN (VALUES (1), (2)) AS c(k) ON g.k > c.k
+    ), cuts AS (
+        SELECT p.lang, p.g, p.a, p.cut, l.f AS l, r.f AS r, ((1000000::HUGEINT * p.a * p.a) // (l.f::HUGEINT * r.f))::BIGINT AS score
+        FROM parted AS p JOIN grams AS l ON l.lang = p.lang AND l.g = p.head JOIN grams AS r ON r.lang = p.lang AND r.g = p.rest
+    ), best AS (
+        SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1
+    ), inner_pairs AS (
+        SELECT lang, array_to_string(string_split(g, ' ')[p : p + 1], ' ') AS g, max(f) AS longer
+        FROM grams, (VALUES (1), (2)) AS o(p) WHERE k = 3 GROUP BY ALL
+    ), kept AS (
+        SELECT best.* FROM best LEFT JOIN inner_pairs AS i ON i.lang = best.lang AND i.g = best.g
+        WHERE 100 * coalesce(longer, 0) < 50 * a
+    )
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(g))::BIGINT AS rank,
+           g AS phrase, a, l, r, n, score
+    FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(spark.read.parquet(f"{sf_dir}/documents.parquet"))
