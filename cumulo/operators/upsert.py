@@ -1,24 +1,29 @@
 """Upsert by business key into a partitioned catalog table.
 
 Tables of a row-level format take a native merge. On plain Parquet only the partitions that hold
-a matched row are rewritten (copy-on-write):
+a matched row are rewritten (copy-on-write), and each of them is written once:
 
 1. the batch is made unique by key and staged;
-2. one scan of the target's key and partition columns, restricted to the batch's (client,
-   account) directories and the months its dates allow, finds the partitions with a matched row;
-3. batch rows of all other partitions are appended;
-4. the matched partitions without their matched rows, plus their batch rows, are staged;
-5. the staged rows replace those partitions, and partitions left without rows are dropped:
-   overwriting alone would keep the old copy of a row that moved elsewhere.
-
-Repeating an interrupted merge of the same batch completes it: whatever it had already inserted
-now matches and is replaced. The lists of partitions are directory metadata, as small as the
-listing Spark itself keeps on the driver; no table rows are collected.
+2. one scan of the target's key and partition columns, pruned at run time to the batch's (client,
+   account) directories and bounded by the months its dates allow, finds the touched partitions,
+   those with a matched row; they are a table of their own;
+3. the touched partitions without their matched rows, plus their batch rows, are written to a new
+   folder that no partition names yet;
+4. batch rows of all other partitions are appended;
+5. each touched partition is pointed to its new folder, or dropped if no rows are left in it;
+6. the old folders are deleted.
+
+A merge that stops between any two steps leaves every partition whole, either as it was or as it will be.
+Repeating the merge of the same batch completes it: whatever it had already inserted now matches
+and is replaced. What is restricted to partitions is joined with the table of touched ones, never with
+a list in the query's text; the catalog is told of one partition at a time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +37,10 @@ ROW_LEVEL_PROVIDERS = ("iceberg", "delta")
 # Rows with a NULL key part never match; they are spread over this many join buckets.
 _NULL_KEY_SPREAD = 1024
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+# Lists of partitions up to this length are broadcast; beyond it they are joined like any table.
+BROADCAST_PARTITIONS = 1_000_000
+# Fixed value: the directory name that stands for NULL.
+_NULL_DIRECTORY = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _quoted(name: str) -> str:
@@ -189,26 +198,33 @@ def _matches(target: DataFrame, batch: DataFrame, keys: Sequence[str], how: str)
     return spread.join(wanted, [*keys, "_spread"], how).select(*target.columns)
 
 
-def _partition_list(df: DataFrame, columns: Sequence[str]) -> set[Row]:
-    return set(df.select(*columns).distinct().collect())
-
-
 def _literal(value: object) -> str:
     return "null" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _lies_in(partitions: set[Row], columns: Sequence[str], schema: T.StructType) -> Column:
-    """Static partition predicate; NULL partition values compare equal inside the struct.
+class Partitions:
+    """Distinct partitions (or their leading directories) with the number of rows found in each, staged."""
 
-    Written as text: thousands of partitions are then one call into the JVM.
-    """
-    types = {c: schema[c].dataType.simpleString() for c in columns}
+    def __init__(self, rows: DataFrame, columns: Sequence[str], label: str):
+        self.columns = list(columns)
+        found = rows.groupBy(*self.columns).agg(F.count(F.lit(1)).alias("found"))
+        self.frame = stage(found, label)
+        self.count = self.frame.count()
+
+    def restrict(self, df: DataFrame, how: str = "left_semi") -> DataFrame:
+        """Rows in these partitions, or with ``left_anti`` in no one of them.
 
-    def row(value) -> str:
-        return "named_struct(" + ", ".join(f"{_literal(c)}, {value(c)}" for c in columns) + ")"
+        NULL values compare equal inside the struct. Broadcasting it lets a scan of the partitioned
+        table skip directories at run time.
+        """
+        # The comparison tells the optimizer that the list is worth pruning by.
+        listed = self.frame.where("found > 0").select(F.struct(*self.columns).alias("_listed"))
+        if self.count <= BROADCAST_PARTITIONS:
+            listed = F.broadcast(listed)
+        return df.join(listed, F.struct(*self.columns) == F.col("_listed"), how)
 
-    wanted = ", ".join(row(lambda c: f"cast({_literal(p[c])} as {types[c]})") for p in partitions)
-    return F.expr(f"{row(_quoted)} in ({wanted})")
+    def __iter__(self) -> Iterator[Row]:
+        return self.frame.select(*self.columns).toLocalIterator()
 
 
 def _possible_months(batch: DataFrame, table: Table) -> Column:
@@ -225,47 +241,103 @@ def _possible_months(batch: DataFrame, table: Table) -> Column:
     return bound | F.col("year_month").isNull()
 
 
+def touched_partitions(batch: DataFrame, target: DataFrame, table: Table) -> Partitions:
+    """Partitions of the target that hold a row with a key of the batch."""
+    # Partition columns that belong to the key confine the matches to the batch's directories.
+    fixed = [c for c in table.partitions if c in table.keys]
+    nearby = target.where(_possible_months(batch, table))
+    if fixed:
+        nearby = Partitions(batch, fixed, f"directories-{table.name}").restrict(nearby)
+    columns = list(dict.fromkeys([*table.keys, *table.partitions]))
+    matched = _matches(nearby.select(*columns), batch, table.keys, "left_semi")
+    return Partitions(matched, table.partitions, f"touched-{table.name}")
+
+
 def _rewrite_partitions(batch: DataFrame, name: str, table: Table) -> None:
     spark = batch.sparkSession
     spark.catalog.refreshTable(name)
     target = spark.table(name)
     if not table.partitions:
-        merged = stage(replace_rows(target, batch, batch, table.keys), f"merged-{table.name}")
-        _insert(merged, name, overwrite=True)
+        folder = _write_apart(replace_rows(target, batch, batch, table.keys), name, table)
+        _point_table(spark, name, folder)
         return
-
-    # Partition columns that belong to the key confine the matches to the batch's directories.
-    fixed = [c for c in table.partitions if c in table.keys]
-    nearby = target
-    if fixed:
-        nearby = target.where(_lies_in(_partition_list(batch, fixed), fixed, table.schema))
-    nearby = nearby.where(_possible_months(batch, table))
-    rewritten: set[Row] = set()
-    if not nearby.isEmpty():
-        columns = list(dict.fromkeys([*table.keys, *table.partitions]))
-        matched = _matches(nearby.select(*columns), batch, table.keys, "left_semi")
-        rewritten = _partition_list(matched, table.partitions)
-    if not rewritten:
+    touched = touched_partitions(batch, target, table)
+    if not touched.count:
         _insert(_balanced(batch, table), name)
         return
+    merged = replace_rows(touched.restrict(target), touched.restrict(batch), batch, table.keys)
+    folder = _write_apart(merged, name, table)
+    _insert(_balanced(touched.restrict(batch, "left_anti"), table), name)
+    old = _point_partitions(spark, name, table, touched, folder)
+    _delete(spark, old)
 
-    inside = _lies_in(rewritten, table.partitions, table.schema)
-    merged = stage(
-        _balanced(
-            replace_rows(target.where(inside), batch.where(inside), batch, table.keys), table
-        ),
-        f"merged-{table.name}",
-        *table.partitions,
-    )
-    _insert(_balanced(batch.where(~inside), table), name)
-    _insert(merged, name, overwrite=True)
 
-    emptied = rewritten - _partition_list(merged, table.partitions)
-    if emptied:
-        specs = ", ".join(_partition_spec(p, table.partitions) for p in emptied)
-        spark.sql(f"ALTER TABLE {_quoted(name)} DROP IF EXISTS {specs}")
+# ---- folders and catalog entries -------------------------------------------------------------
+
+
+def _located(spark: SparkSession, name: str, spec: str = "") -> str:
+    detail = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)} {spec}")
+    return detail.where("col_name = 'Location'").select("data_type").first()[0]
+
+
+def _write_apart(rows: DataFrame, name: str, table: Table) -> str:
+    """Write rows to a new folder: hidden inside the table's, or beside it if the table itself will move."""
+    root = _located(rows.sparkSession, name).rstrip("/")
+    if table.partitions:
+        folder = f"{root}/_rewritten-{uuid.uuid4().hex}"
+    else:
+        folder = f"{root.rsplit('/', 1)[0]}/{table.name}-{uuid.uuid4().hex}"
+    _balanced(rows, table).write.partitionBy(*table.partitions).parquet(folder)
+    return folder
+
+
+def _point_table(spark: SparkSession, name: str, folder: str) -> None:
+    old = _located(spark, name)
+    spark.sql(f"ALTER TABLE {_quoted(name)} SET LOCATION {_literal(folder)}")
+    spark.catalog.refreshTable(name)
+    _delete(spark, [old])
+
+
+def _point_partitions(
+    spark: SparkSession, name: str, table: Table, partitions: Partitions, folder: str
+) -> list[str]:
+    """Point each partition to its part of the folder, or drop it if it has none; gives the old folders."""
+    written = _partition_folders(spark, folder, table.partitions)
+    old = []
+    for partition in partitions:
+        spec = _partition_spec(partition, table.partitions)
+        part = written.get(tuple(None if v is None else str(v) for v in partition))
+        if part is None:
+            spark.sql(f"ALTER TABLE {_quoted(name)} DROP IF EXISTS {spec}")
+        else:
+            old.append(_located(spark, name, spec))
+            spark.sql(f"ALTER TABLE {_quoted(name)} {spec} SET LOCATION {_literal(part)}")
+    spark.catalog.refreshTable(name)
+    return old
 
 
 def _partition_spec(partition: Row, columns: Sequence[str]) -> str:
     values = ", ".join(f"{_quoted(c)} = {_literal(partition[c])}" for c in columns)
     return f"PARTITION ({values})"
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
+
+
+def _partition_folders(spark: SparkSession, folder: str, columns: Sequence[str]) -> dict[tuple, str]:
+    """Folder by partition values, as text, of the partitions written below ``folder``."""
+    system, at = _file_system(spark, "/".join([folder, *(f"{c}=*" for c in columns)]))
+    found = {}
+    for status in system.globStatus(at) or []:
+        path = status.getPath().toString()
+        values = [unquote(part.split("=", 1)[1]) for part in path.split("/")[-len(columns) :]]
+        found[tuple(None if v == _NULL_DIRECTORY else v for v in values)] = path
+    return found
+
+
+def _delete(spark: SparkSession, folders: Sequence[str]) -> None:
+    for folder in folders:
+        system, at = _file_system(spark, folder)
+        system.delete(at, True)

@@ -49,6 +49,41 @@ def test_tenant_and_account_prune_directories(stored_metrics):
     assert stored_metrics.count() == 5
 
 
+def test_merges_prune_directories_at_run_time(spark, database):
+    """The touched partitions and the batch's directories reach the scans as runtime filters."""
+    name = U.ensure_table(spark, database, RAW_METRICS)
+    rows = spark.range(40).select(
+        F.lit("c").alias("client_id"),
+        F.concat(F.lit("a"), F.col("id") % 8).alias("account_id"),
+        F.when(F.col("id") % 4 > 0, "2024-01").alias("year_month"),
+        F.concat(F.lit("r"), "id").alias("resource_id"),
+        F.lit("2024-01-30T01:00:00Z").alias("date"),
+        F.lit("CPUUtilization").alias("metric_name"),
+        F.lit("Average").alias("aggregation_type"),
+    )
+    U.append(rows, name, RAW_METRICS)
+    target = spark.table(name)
+    batch = U.as_stored(rows.where("account_id IN ('a0', 'a1')"), RAW_METRICS)
+    touched = U.touched_partitions(batch, target, RAW_METRICS)
+    found = touched.restrict(target)
+    assert "dynamicpruning" in plan(found)
+    assert len(found.collect()) == 10 and touched.count == 2
+    scan = found._jdf.queryExecution().executedPlan()
+    read = []
+
+    def visit(node):
+        if node.nodeName().startswith("Scan parquet") and "bronze_aws" in node.nodeName():
+            read.append(node.metrics().apply("numPartitions").value())
+        children = node.executedPlan() if node.nodeName() == "AdaptiveSparkPlan" else None
+        for child in [children] if children else [node.children().apply(i) for i in range(node.children().size())]:
+            visit(child)
+        if "QueryStage" in node.nodeName():
+            visit(node.plan())
+
+    visit(scan)
+    assert read and max(read) == 2
+
+
 def test_rollup_scans_push_filters_and_prune_columns(spark, stored_metrics):
     spark.conf.set("spark.sql.maxMetadataStringLength", 10_000)
     text = plan(R.daily_values(stored_metrics, INSTANCE_SPECS + VOLUME_SPECS))

@@ -127,6 +127,76 @@ def test_an_interrupted_merge_is_completed_by_repeating_it(spark, table, batch):
     assert stored(spark, table) == [("1", "c", "m2", "new", ""), ("2", "c", "m2", "new", "")]
 
 
+class Killed(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["_write_apart", "_insert", "_point_partitions", "_located", "_delete"])
+def test_a_merge_killed_between_steps_leaves_partitions_whole(spark, table, batch, monkeypatch, step):
+    """Whichever step does not begin, a partition holds its old rows or its new ones, and repeating completes it."""
+    old = [(k, "c", m, "old", "") for k, m in (("1", "m1"), ("2", "m1"), ("3", "m2"), ("4", "m3"), ("5", "m4"))]
+    new = [("1", "c", "m1", "new", ""), ("3", "c", "m2", "new", ""), ("4", "c", "m1", "new", ""), ("6", "c", "m5", "new", "")]
+    U.upsert(batch(*old), table, TABLE)
+    calls, real = [], getattr(U, step)
+
+    def stop(*args, **kwargs):
+        calls.append(args)
+        # The first look-up finds the table's folder; later ones come between two partitions.
+        if step == "_located" and len(calls) < 3:
+            return real(*args, **kwargs)
+        raise Killed
+
+    monkeypatch.setattr(U, step, stop)
+    with pytest.raises(Killed):
+        U.upsert(batch(*new), table, TABLE)
+    monkeypatch.undo()
+    before = {m: sorted(r for r in old if r[2] == m) for m in ("m1", "m2", "m3", "m4", "m5")}
+    after = {m: sorted(r for r in new if r[2] == m) for m in before}
+    after["m1"] = sorted([*after["m1"], old[1]])
+    after["m4"] = before["m4"]
+    for month in before:
+        assert [r for r in stored(spark, table) if r[2] == month] in (before[month], after[month])
+    U.upsert(batch(*new), table, TABLE)
+    assert stored(spark, table) == sorted(r for rows in after.values() for r in rows)
+
+
+def test_rewritten_partitions_are_written_once(spark, table, batch, monkeypatch):
+    """No second copy of the merged rows, and no file of the old state is left."""
+    from pathlib import Path
+
+    U.upsert(batch(*[(str(i), "c", f"m{i % 3}", "old", "") for i in range(9)]), table, TABLE)
+    staged = []
+    real = U.stage
+    monkeypatch.setattr(U, "stage", lambda df, label, *p: staged.append(label) or real(df, label, *p))
+    for value in ("new", "newer"):
+        U.upsert(batch(*[(str(i), "c", f"m{i % 3}", value, "") for i in range(0, 9, 2)]), table, TABLE)
+        assert [r[3] for r in stored(spark, table)] == [value if i % 2 == 0 else "old" for i in range(9)]
+    assert not [label for label in staged if label.startswith("merged")]
+    root = Path(U._located(spark, table).removeprefix("file:"))
+    files = {p for p in root.rglob("*.parquet")}
+    named = {Path(f.removeprefix("file://").removeprefix("file:")) for f in spark.table(table).inputFiles()}
+    assert {p.name for p in files} == {p.name for p in named}
+
+
+def test_many_partitions_need_no_list(spark, table, monkeypatch):
+    """20,000 partitions: nothing is collected and no text grows with them."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    rows = spark.range(20_000).select(
+        F.col("id").cast("string").alias("k"), F.lit("c").alias("client_id"), F.concat(F.lit("m"), "id").alias("month"), F.lit("v").alias("v"), F.lit("w").alias("w")
+    )
+
+    def refuse(*_):
+        raise AssertionError("collected")
+
+    monkeypatch.setattr(DataFrame, "collect", refuse)
+    touched = U.touched_partitions(rows, rows, TABLE)
+    assert touched.count == 20_000
+    left = touched.restrict(rows)
+    assert len(left._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+    assert left.count() == 20_000 and touched.restrict(rows, "left_anti").count() == 0
+
+
 def test_empty_batch(spark, table, batch):
     U.upsert(batch(("1", "c", "m", "a", "")), table, TABLE)
     assert U.upsert(batch().limit(0), table, TABLE).count() == 0
