@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cumulo.llm import context_tree, decontamination, embeddings, packing, phrases, pii, quality, sharding, simhash, substrings, token_counts, whitening
+from cumulo.llm import chats, context_tree, decontamination, embeddings, packing, phrases, pii, quality, sharding, simhash, substrings, token_counts, whitening
 from cumulo.llm.common import prepare
 
 # For repeatable checks only: a real run passes a secret of its own.
@@ -131,6 +131,48 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
 
 
+@query(
+    "op11_reply_tree_chats",
+    r"""
+    WITH rows AS (
+        SELECT conv_id, turn, role, text FROM conversations
+        UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+    ), turns AS (
+        SELECT conv_id, coalesce(role, '') AS said_by, coalesce(text, '') AS said,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS place
+        FROM rows
+    ), escaped AS (
+        SELECT *, regexp_replace(said, '(<)(\\*/?s>)|(\[)(\\*(?:/?SYS|/?INST|/?ROLE|END)\])', '\1\3\\\2\4', 'g') AS e,
+               regexp_replace(said_by, '(<)(\\*/?s>)|(\[)(\\*(?:/?SYS|/?INST|/?ROLE|END)\])', '\1\3\\\2\4', 'g') AS r
+        FROM turns
+    )
+    SELECT conv_id, count(*)::BIGINT AS n_turns,
+           sha256(string_agg(said_by || chr(10) || said || chr(10), '' ORDER BY place)) AS turns_sha256,
+           coalesce(sum(length(said)) FILTER (said_by = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(said, '' ORDER BY place) FILTER (said_by = 'assistant'), '')) AS loss_sha256,
+           sum(length(e) + CASE said_by WHEN 'system' THEN 11 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7
+                                        ELSE 18 + length(r) END)::BIGINT AS formatted_chars
+    FROM escaped GROUP BY conv_id
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    more = spark.sql(f"SELECT * FROM VALUES (-1L, 0L, 'user', '{said}'), (-1L, 1L, 'assistant', '{said}') AS t(conv_id, turn, role, text)")
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").union(more)
+    found = chats.conversations(chats.chains(rows))
+    turns = F.transform(chats.read_turns(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    masked = chats.read_masked(F.col("formatted"), F.col("loss"))
+    found = found.select("tree_id", "formatted", turns.alias("turns"), masked.alias("masked"))
+    return found.select(
+        F.col("tree_id").alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join("turns", "").cast("binary"), 256).alias("turns_sha256"),
+        F.length("masked").cast("long").alias("loss_chars"),
+        F.sha2(F.col("masked").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 @query(
     "op12_hat_trie_phrases",
     r"""
