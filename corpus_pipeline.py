@@ -10,10 +10,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cumulo.llm import decontamination, near_copies, packing, pii, quality
+from cumulo.llm import decontamination, packing, pii, quality, simhash
 from cumulo.llm.common import prepare, stage
 from cumulo.llm.queries import KEY
 
+# The setting that holds the secret of the pseudonyms. Without it the key of the checks is used, which is public.
+KEY_SETTING = "spark.cumulo.pseudonymKey"
+
 # The stages fit models and run hashes that SQL does not have; tests hold them against plain versions.
 ORACLE_SQL = None
 
@@ -25,13 +28,18 @@ def reject(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies: texts that share at least 0.8 of
-    their five-word shingles, directly or through others. Rows without an id stay; rows that repeat an
-    id stand or fall together."""
+    """One row of each group of near copies: texts whose fingerprints link, directly or through others. The
+    row with the smallest id stays, rows without an id come last.
+
+    Rows are numbered in a written copy, so rows that repeat an id or have none are judged each."""
     prepare(spark)
-    found = near_copies.near_duplicates(docs)
-    copies = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    row = next(n for n in ("row", *(f"row_{i}" for i in range(len(docs.columns) + 1))) if n not in docs.columns)
+    rows = stage(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = simhash.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"))
+    groups = found.select(F.col("doc_id").alias(row), F.col("component_id").alias("group")).join(rows.select(row, "doc_id"), row)
+    first = groups.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", row)).alias("kept"))
+    copies = groups.join(first, "group").where(F.col(row) != F.col(f"kept.{row}")).select(row)
+    return rows.join(copies, row, "left_anti").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +49,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pseudonymize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with pseudonyms for personal data. Texts keep their length."""
-    prepare(spark)
-    return pii.pseudonymize(docs, KEY).select(*docs.columns)
+    key = prepare(spark).conf.get(KEY_SETTING, None)
+    return pii.pseudonymize(docs, key.encode() if key else KEY).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
