@@ -115,20 +115,23 @@ def pointers(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     )
     state, jumps = stage(state, "replies"), []
     most = state.count()
-    while not state.where("up IS NOT NULL").isEmpty() and 1 << len(jumps) <= most:
-        jumps.append(state.where("up IS NOT NULL").select("tree", "node", "up"))
-        above = state.select(
+    # Messages whose path has ended leave the rounds; others still look them up.
+    ended, open_ = state.where("up IS NULL"), state.where("up IS NOT NULL")
+    while not open_.isEmpty() and 1 << len(jumps) <= most:
+        jumps.append(open_.select("tree", "node", "up"))
+        above = ended.unionByName(open_).select(
             "tree", F.col("node").alias("up"), F.col("up").alias("further"), F.col("length").alias("more"), F.col("total").alias("sum")
         )
-        state = state.join(above, ["tree", "up"], "left").select(
+        state = open_.join(above, ["tree", "up"]).select(
             "tree",
             "node",
             F.col("further").alias("up"),
-            (F.col("length") + F.coalesce("more", F.lit(0))).alias("length"),
-            (F.col("total") + F.coalesce("sum", F.lit(0.0))).alias("total"),
+            (F.col("length") + F.col("more")).alias("length"),
+            (F.col("total") + F.col("sum")).alias("total"),
         )
         state = stage(state, "replies")
-    return jumps, state.where("up IS NULL").drop("up")
+        ended, open_ = ended.unionByName(state.where("up IS NULL")), state.where("up IS NOT NULL")
+    return jumps, ended.drop("up")
 
 
 def branches(nodes: DataFrame, reach: DataFrame, most: int) -> DataFrame:
