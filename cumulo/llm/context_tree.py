@@ -4,17 +4,24 @@ A text is its bytes, A-Z lower-cased, and an end byte that UTF-8 never has; befo
 Each byte is eight binary decisions. For every decision there is a tree over the bytes before it, up to
 ``DEPTH``; a node's Krichevsky-Trofimov estimate and its children are weighted by one half each, all
 counts taken from the whole training corpus. Frozen, the tree predicts a bit by mixing the estimates of
-all depths along its context by their posterior weights, which gives a code length per byte.
+all depths along its context by their posterior weights, which gives a code length per byte. Every context
+of the corpus is a node; there is no bound on their number.
 
-The corpus is counted in full. The model keeps the ``CONTEXTS`` most frequent contexts of each depth, so
-its size has a fixed bound and it can be broadcast; what other contexts have seen is kept in their
-parent as one more child, so no count is lost.
+1. Tasks read texts in chunks. A chunk keeps its texts and sends its distinct codes (a context of
+   ``DEPTH`` bytes and the byte after it) with their training counts to buckets by the last three bytes
+   of the context, and its distinct words to buckets of words.
+2. A bucket adds up its codes, which are all of the contexts that end in its bytes. It weights its trees
+   from the deepest contexts up to three bytes; what is left for each pair of bytes, at most 65,536 of
+   them, is added up over the buckets, and one task weights the top of the tree.
+3. Knowing the top's mixtures, the buckets answer each chunk with the log probabilities of its codes, and
+   word buckets with the counts of its words. The chunk adds them up by document.
 
-Word counts are not bounded and are never broadcast whole: those of the ``FREQUENT`` most frequent words
-are, the others are joined, where no word can hold more than one in ``FREQUENT`` of all tokens.
+Codes are sorted by context, so they travel as differences, at about a byte and a half each. A bucket
+holds each code once however many chunks send it.
 
 Null texts are empty: one end byte, one end token. A row without an id trains. Repeated rows count and are
-scored each. An empty table gives no rows; without training rows every byte has the same probability.
+scored each. A text longer than a chunk is a chunk of its own, coded in slices. An empty table gives no
+rows; without training rows every byte has the same probability. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,434 +31,523 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cumulo.llm.common import stage, texts_of
 
 DEPTH = 6
-CONTEXTS = 8_192
 END = 0xFF
-FREQUENT = 100_000
-# Bytes that a task counts or scores at a time, and distinct contexts or words that it holds.
-CHUNK = 4_000_000
-HELD = 2_000_000
-HELD_WORDS = 300_000
-# Contexts of so many bytes are counted in one bucket; entries meant for one bucket.
-BUCKET_DEPTH = 3
-BUCKET = 4_000_000
+# Contexts of so many bytes are never parted between buckets; those shorter are the top.
+TOP = 2
+# Bytes of texts in a chunk, and of those coded at a time; texts that share a slice have one byte for a number.
+CHUNK = 16_000_000
+SLICE = 4_000_000
+SHARED = 255
+# Bytes of the corpus per bucket, and codes that a bucket adds up at a time.
+BUCKET = 32_000_000
 MIN_BUCKETS = 8
+FOLD = 4_000_000
+_TEXTS, _CODES, _WORDS = 0, 1, 2
+LN2 = math.log(2)
+
+
+# ---- codes ---------------------------------------------------------------------------------------
+
+
+def codes(line: bytes, depth: int) -> np.ndarray:
+    """For every byte of the line but the first ``depth``: the bytes before it, the nearest in the highest
+    place, and the byte itself in the lowest."""
+    n = len(line) - depth
+    window = np.ndarray((n,), "<u8", line + bytes(8), 0, (1,))
+    return ((window & np.uint64((1 << 8 * depth) - 1)) << np.uint64(8)) | ((window >> np.uint64(8 * depth)) & np.uint64(255))
+
+
+def slices(texts: list[bytes], depth: int):
+    """(first text, codes, number of codes of each text) of the texts and their end bytes, in order.
+
+    Texts share a slice up to ``SLICE`` bytes; a longer one is cut into several slices of its own."""
+    pad = bytes([END]) * depth
+    first, held, size = 0, [], 0
+
+    def shared():
+        line = pad + pad.join(held) + pad[:1]
+        found, sizes = codes(line, depth), np.array([len(t) + 1 for t in held])
+        if depth > 1 and len(held) > 1:
+            ends = np.cumsum(sizes[:-1] + depth - 1) - (depth - 1)
+            keep = np.ones(len(found), dtype=bool)
+            keep[(ends[:, None] + np.arange(depth - 1)).ravel()] = False
+            found = found[keep]
+        return first, found, sizes
+
+    for i, text in enumerate(texts):
+        if held and (size + len(text) > SLICE or len(held) == SHARED):
+            yield shared()
+            held, size = [], 0
+        if not held:
+            first = i
+        if len(text) > SLICE:
+            line = pad + text + pad[:1]
+            for low in range(0, len(text) + 1, SLICE):
+                part = codes(line[low : low + depth + SLICE], depth)
+                yield i, part, np.array([len(part)])
+            continue
+        held.append(text)
+        size += len(text)
+    if held:
+        yield shared()
 
-Level = tuple[np.ndarray, np.ndarray]
 
+def _heads(ranked: np.ndarray) -> np.ndarray:
+    """Where each run of equal values starts."""
+    return np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])) if len(ranked) else np.zeros(0, np.int64)
 
-def stretches(text: bytes, depth: int) -> list[tuple[bytes, bytes]]:
-    """The text and its end byte in parts of at most ``CHUNK``, each with the ``depth`` bytes before it."""
-    line = bytes([END]) * depth + text + bytes([END])
-    return [(line[a : a + depth], line[a + depth : a + depth + CHUNK]) for a in range(0, len(text) + 1, CHUNK)]
 
+def add_up(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes, sorted, and the sums of their counts."""
+    values, counts = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(values, kind="stable")
+    values, counts = values[order], counts[order]
+    first = _heads(values)
+    return values[first], np.add.reduceat(counts, first) if len(first) else counts
 
-def codes(parts: list[tuple[bytes, bytes]], depth: int) -> np.ndarray:
-    """For every byte of the parts, its value with the ``depth`` bytes before it: the byte itself in
-    the lowest place, the one before it next."""
-    line = np.frombuffer(b"".join(before + part for before, part in parts), dtype=np.uint8).astype(np.uint64)
-    out = line.copy()
-    for back in range(1, depth + 1):
-        out[back:] |= line[:-back] << np.uint64(8 * back)
-    keep = np.ones(len(line), dtype=bool)
-    starts = np.concatenate([[0], np.cumsum([depth + len(part) for _, part in parts])[:-1]]).astype(np.int64)
-    for back in range(depth):
-        keep[starts + back] = False
-    return out[keep]
 
+def tally(texts: list[bytes], train: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes of the texts and how often each occurs in training texts (0: in others only)."""
+    parts = []
+    for first, found, sizes in slices(texts, depth):
+        marks = np.repeat(train[first : first + len(sizes)].astype(np.uint64), sizes)
+        ranked = np.sort(found << np.uint64(1) | marks)
+        head = _heads(ranked >> np.uint64(1))
+        counts = np.add.reduceat((ranked & np.uint64(1)).astype(np.int64), head)
+        parts.append((ranked[head] >> np.uint64(1), counts))
+    return add_up(parts) if len(parts) > 1 else parts[0]
 
-def tally(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    values = np.sort(values)
-    first = np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
-    return values[first], np.diff(np.append(first, len(values)))
 
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers or floats, compressed by place."""
+    wide = np.ascontiguousarray(values)
+    planes = wide.view(np.uint8).reshape(len(wide), wide.itemsize).T
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
-def bit_counts(by_byte: np.ndarray) -> np.ndarray:
-    """Counts of the 256 bytes (last axis) summed up the binary tree: place p holds the count below
-    the bit prefix p (1: none read yet); a byte b is the leaf 256 + b."""
-    out = np.zeros((*by_byte.shape[:-1], 512))
-    out[..., 256:] = by_byte
-    for p in range(255, 0, -1):
-        out[..., p] = out[..., 2 * p] + out[..., 2 * p + 1]
-    return out
 
+def unpacked(data: bytes, kind: str, n: int) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=n * width, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, n).T).view(kind).ravel()
 
-def _log_gamma_half(n: np.ndarray) -> np.ndarray:
-    """log Gamma(n + 1/2) - log Gamma(1/2) for whole n."""
-    from math import lgamma
 
-    small = np.array([lgamma(i + 0.5) for i in range(64)]) - lgamma(0.5)
-    x = np.maximum(n, 1.0) + 0.5
-    series = (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
-    return np.where(n < 64, small[np.minimum(n, 63).astype(np.int64)], series - lgamma(0.5))
+def packed_codes(values: np.ndarray) -> bytes:
+    return packed(np.diff(values, prepend=np.uint64(0)))
 
 
-def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    """Log of the Krichevsky-Trofimov probability of a run with so many zeros and ones."""
-    # In blocks of rows, since it takes several copies on the way.
-    cuts = range(0, max(1, len(zeros)), 512)
-    return np.concatenate([_log_kt(zeros[a : a + 512], ones[a : a + 512]) for a in cuts])
-
-
-def _log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    n = zeros + ones
-    log_factorial = np.array([math.lgamma(i + 1.0) for i in range(64)])
-    x = np.maximum(n, 1.0) + 1.0
-    series = (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
-    below = np.where(n < 64, log_factorial[np.minimum(n, 63).astype(np.int64)], series)
-    return _log_gamma_half(zeros) + _log_gamma_half(ones) - below
-
-
-def weigh(levels: list[Level]) -> list[Level]:
-    """The frozen model: per depth, the kept contexts (sorted) and log10 probabilities of the 256
-    next bytes for a text whose deepest kept context that is.
-
-    ``levels``: per depth the kept contexts, sorted, and their next-byte counts; depth 0 is the empty
-    context alone, and every kept context's shorter one is kept.
-    """
-    parents = [None] + [np.searchsorted(levels[d - 1][0], _shorter(levels[d][0], d)) for d in range(1, len(levels))]
-    estimate, others, stops = [None] * len(levels), [None] * len(levels), [None] * len(levels)
-    below = above = None
-    for d in range(len(levels) - 1, -1, -1):
-        n = bit_counts(levels[d][1])
-        log_e = log_kt(*_zeros_ones(n))
-        estimate[d] = _kt_one(n).astype(np.float32)
-        if below is not None and len(below):
-            rest, under = n.copy(), np.zeros_like(log_e)
-            np.subtract.at(rest, parents[d + 1], above)
-            np.add.at(under, parents[d + 1], below)
-            under += log_kt(*_zeros_ones(rest)) - math.log(2)
-            stay = log_e - math.log(2)
-            parted = np.zeros(len(n), dtype=bool)
-            parted[parents[d + 1]] = True
-            log_w = np.where(parted[:, None], np.logaddexp(stay, under), log_e)
-            stops[d] = np.where(parted[:, None], np.exp(stay - log_w), 1.0).astype(np.float32)
-            others[d] = _kt_one(rest).astype(np.float32)
-        else:
-            log_w = log_e
-            stops[d], others[d] = np.ones(log_e.shape, np.float32), estimate[d]
-        above, below = n, log_w
-    out, mass, share = [], None, None
-    for d, (contexts, _) in enumerate(levels):
-        if d:
-            mass, share = mass[parents[d]], share[parents[d]]
-        else:
-            mass, share = 0.0, 1.0
-        mass, share = mass + share * stops[d] * estimate[d], share * (1 - stops[d])
-        out.append((contexts, _bytes(mass + share * others[d]).astype(np.float32)))
-        stops[d] = None
-    return out
+def unpacked_codes(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(unpacked(data, "<u8", n), dtype=np.uint64)
+
+
+# ---- trees ---------------------------------------------------------------------------------------
 
 
-def _zeros_ones(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of zeros and ones that followed each prefix 1..255."""
-    return n[:, 2::2], n[:, 3::2]
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    return (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
 
 
-def _shorter(contexts: np.ndarray, depth: int) -> np.ndarray:
-    return contexts & np.uint64((1 << 8 * (depth - 1)) - 1)
+def _small_kt() -> np.ndarray:
+    half = np.array([math.lgamma(i + 0.5) for i in range(64)]) - math.lgamma(0.5)
+    whole = np.array([math.lgamma(i + 1.0) for i in range(127)])
+    at = np.arange(64)
+    return half[:, None] + half[None, :] - whole[at[:, None] + at[None, :]]
 
 
-def _kt_one(n: np.ndarray) -> np.ndarray:
-    """Probability of a one at each prefix 1..255."""
-    return (n[:, 3::2] + 0.5) / (n[:, 1:256] + 1.0)
+_SMALL = _small_kt()
 
 
-def _bytes(one: np.ndarray) -> np.ndarray:
-    """log10 probabilities of the bytes from the bits' probabilities."""
-    log1, log0 = np.log10(one), np.log10(1 - one)
-    out = np.zeros((len(one), 256))
-    for bit in range(8):
-        byte = np.arange(256)
-        prefix = (256 + byte) >> (8 - bit)
-        taken = (byte >> (7 - bit)) & 1
-        out += np.where(taken, log1[:, prefix - 1], log0[:, prefix - 1])
+def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """Log of the Krichevsky-Trofimov probability of a run with so many zeros and ones."""
+    out = np.empty(zeros.shape)
+    small = (zeros < 64) & (ones < 64)
+    out[small] = _SMALL[zeros[small], ones[small]]
+    z, o = zeros[~small], ones[~small]
+    if len(z):
+        # The series is exact to double precision from 64 on; below it each count has its own value.
+        halves = [
+            np.where(x < 64, _HALF[np.minimum(x, 63)], _log_gamma(np.maximum(x, 64) + 0.5) - math.lgamma(0.5)) for x in (z, o)
+        ]
+        out[~small] = halves[0] + halves[1] - _log_gamma(z + o + 1.0)
     return out
 
 
-def score_codes(values: np.ndarray, model: list[Level]) -> np.ndarray:
-    """log10 probability of each code's byte."""
-    order = np.argsort(values, kind="stable")
-    ranked = values[order]
-    first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])) if len(ranked) else np.zeros(0, np.int64)
-    unique = ranked[first]
-    byte, context = (unique & np.uint64(255)).astype(np.int64), unique >> np.uint64(8)
-    out, open_ = np.zeros(len(unique)), np.ones(len(unique), dtype=bool)
-    for depth in range(len(model) - 1, -1, -1):
-        contexts, table = model[depth]
-        own = np.flatnonzero(open_)
-        if not len(contexts) or not len(own):
-            continue
-        mine = context[own] & np.uint64((1 << 8 * depth) - 1)
-        at = np.minimum(np.searchsorted(contexts, mine), len(contexts) - 1)
-        hit = contexts[at] == mine
-        out[own[hit]] = table[at[hit], byte[own[hit]]]
-        open_[own[hit]] = False
-    result = np.empty(len(values))
-    result[order] = np.repeat(out, np.diff(np.append(first, len(values))))
-    return result
+_HALF = np.array([math.lgamma(i + 0.5) for i in range(64)]) - math.lgamma(0.5)
+
+
+class Forest:
+    """The trees of all contexts that end in the same bytes, from ``TOP`` + 1 bytes down to ``depth``, over
+    sorted distinct codes and their counts."""
+
+    def __init__(self, values: np.ndarray, counts: np.ndarray, depth: int):
+        self.depth = depth
+        # Per depth: codes of its contexts, their counts, and the place of each deeper code among them.
+        self.tables = {depth: (values, counts, None)}
+        for d in range(depth - 1, TOP, -1):
+            keys, n, _ = self.tables[d + 1]
+            shorter = (keys >> np.uint64(16) << np.uint64(8)) | (keys & np.uint64(255))
+            order = np.argsort(shorter, kind="stable")
+            ranked = shorter[order]
+            head = _heads(ranked)
+            place = np.empty(len(keys), np.int64)
+            place[order] = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(ranked))))
+            self.tables[d] = (ranked[head], np.add.reduceat(n[order], head), place)
+        keys = self.tables[TOP + 1][0] >> np.uint64(16)
+        self.pairs, self.pair_of = np.unique(keys, return_inverse=True)
+
+    def _level(self, bit: int):
+        """Per depth, the nodes that decide this bit: first codes, node of each code, KT log and estimate."""
+        out = {}
+        for d, (keys, n, _) in self.tables.items():
+            prefix = keys >> np.uint64(8 - bit)
+            first = _heads(prefix)
+            node = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(keys))))
+            total = np.add.reduceat(n, first)
+            ones = np.add.reduceat(np.where(keys >> np.uint64(7 - bit) & np.uint64(1), n, 0), first)
+            out[d] = (first, node, log_kt(total - ones, ones), (ones + 0.5) / (total + 1.0))
+        return out
+
+    def _weighted(self, level):
+        """Per depth, the nodes' weighted logs, the weight of stopping there and each node's parent."""
+        log_w, stop, parent = {}, {}, {}
+        for d in range(self.depth, TOP, -1):
+            _, _, log_e, _ = level[d]
+            if d == self.depth:
+                log_w[d] = log_e
+                continue
+            parent[d + 1] = level[d][1][self.tables[d][2][level[d + 1][0]]]
+            under = np.bincount(parent[d + 1], log_w[d + 1], len(log_e))
+            log_w[d] = np.logaddexp(log_e, under) - LN2
+            stop[d] = np.exp(log_e - LN2 - log_w[d])
+        return log_w, stop, parent
+
+    def _columns(self, level, bit: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pair and decision (0 to 254) of the nodes of the shortest contexts."""
+        first = level[TOP + 1][0]
+        prefix = (self.tables[TOP + 1][0][first] & np.uint64(255)).astype(np.int64) >> (8 - bit)
+        return self.pair_of[first], (1 << bit) - 1 + prefix
+
+    def left_for_top(self) -> tuple[np.ndarray, np.ndarray]:
+        """Per pair of bytes: the sum of its contexts' weighted logs per decision, and byte counts."""
+        under = np.zeros((len(self.pairs), 255))
+        for bit in range(8):
+            level = self._level(bit)
+            log_w, _, _ = self._weighted(level)
+            np.add.at(under, self._columns(level, bit), log_w[TOP + 1])
+        keys, n, _ = self.tables[TOP + 1]
+        counts = np.zeros((len(self.pairs), 256), np.int64)
+        np.add.at(counts, (self.pair_of, (keys & np.uint64(255)).astype(np.int64)), n)
+        return under, counts
+
+    def logs(self, mass: np.ndarray, share: np.ndarray) -> np.ndarray:
+        """log10 probability of each code's byte, given per pair and decision the probability of a one that
+        the top has settled, and the share it leaves."""
+        keys = self.tables[self.depth][0]
+        out = np.zeros(len(keys))
+        for bit in range(8):
+            level = self._level(bit)
+            _, stop, parent = self._weighted(level)
+            at = self._columns(level, bit)
+            settled, left = mass[at], share[at]
+            for d in range(TOP + 1, self.depth + 1):
+                if d > TOP + 1:
+                    settled, left = settled[parent[d]], left[parent[d]]
+                estimate = level[d][3]
+                if d == self.depth:
+                    settled = settled + left * estimate
+                else:
+                    settled, left = settled + left * stop[d] * estimate, left * (1 - stop[d])
+            one = settled[level[self.depth][1]]
+            out += np.log10(np.where(keys >> np.uint64(7 - bit) & np.uint64(1), one, 1 - one))
+        return out
+
+
+def decisions(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of zeros and ones at each of the 255 decisions, from those of the 256 bytes (last axis)."""
+    tree = np.zeros((len(counts), 512), np.int64)
+    tree[:, 256:] = counts
+    for p in range(255, 0, -1):
+        tree[:, p] = tree[:, 2 * p] + tree[:, 2 * p + 1]
+    return tree[:, 2::2], tree[:, 3::2]
+
+
+def top_mixture(pairs: np.ndarray, under: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per pair and decision: the probability of a one settled by contexts of up to two bytes, and the
+    share left to longer ones."""
+    levels = []
+    names = pairs
+    for d in range(TOP, -1, -1):
+        zeros, ones = decisions(counts)
+        log_e = log_kt(zeros, ones)
+        log_w = np.logaddexp(log_e, under) - LN2
+        levels.append((np.exp(log_e - LN2 - log_w), (ones + 0.5) / (zeros + ones + 1.0), names))
+        if d:
+            names, place = np.unique(names >> np.uint64(8), return_inverse=True)
+            under, counts = (
+                np.array([np.bincount(place, column, len(names)) for column in table.T]).T for table in (log_w, counts)
+            )
+            counts = counts.astype(np.int64)
+            levels[-1] = (*levels[-1], place)
+    mass, share = np.zeros((1, 255)), np.ones((1, 255))
+    for i, (stop, estimate, _, *place) in enumerate(reversed(levels)):
+        if place:
+            mass, share = mass[place[0]], share[place[0]]
+        mass, share = mass + share * stop * estimate, share * (1 - stop)
+    return mass, share
 
 
-# ---- counting ----------------------------------------------------------------------------------
+# ---- chunks and buckets --------------------------------------------------------------------------
+
+_PIECE = pa.schema(
+    [("kind", pa.int32()), ("chunk", pa.int64()), ("bucket", pa.int64()), ("size", pa.int64()), ("a", pa.binary()), ("b", pa.binary())]
+)
+_PIECE_TYPES = "kind int, chunk long, bucket long, size long, a binary, b binary"
 
 
 def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 7 == 2
 
 
-def _chunks(batches, depth: int):
-    """Lower-cased texts with the ids they come from, as lists of (id, text, parts) of about ``CHUNK``
-    bytes; a longer text is alone."""
-    held, size = [], 0
-    for batch in batches:
-        ids = batch.column(0).to_pylist()
-        for row, text in zip(ids, texts_of(batch)):
-            text = (text or b"").lower()
-            if held and size + len(text) > CHUNK:
-                yield held
-                held, size = [], 0
-            held.append((row, text, stretches(text, depth)))
-            size += len(text)
-    if held:
-        yield held
+def _pieces(rows) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [()] * len(_PIECE)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PIECE)], schema=_PIECE)
 
 
-def _loads(chunk):
-    """The parts of a chunk: all together, or one by one those of a single long text."""
-    parts = [part for _, _, own in chunk for part in own]
-    return [parts] if len(parts) == len(chunk) else [[part] for part in parts]
+def _spread(values: np.ndarray, depth: int, buckets: int) -> np.ndarray:
+    shortest = values >> np.uint64(8 * (depth - TOP))
+    mixed = shortest * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed ^ (mixed >> np.uint64(32))) % np.uint64(buckets)).astype(np.int64)
 
 
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    values, counts = (np.concatenate(x) for x in zip(*parts))
-    order = np.argsort(values, kind="stable")
-    values, counts = values[order], counts[order]
-    first = np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
-    return values[first], np.add.reduceat(counts, first) if len(first) else counts
+def chunk_pieces(chunk: int, ids: list, outs: list[bool], texts: list[bytes], depth: int, buckets: int):
+    """A chunk's own row, and what it sends: codes and words by bucket."""
+    import xxhash
 
+    known = np.array([i is not None for i in ids])
+    told = np.concatenate([np.array([i or 0 for i in ids], "<i8"), known.astype("<i8"), np.array(outs, "<i8")])
+    body = bytes([END]).join(texts)
+    blob = len(body).to_bytes(8, "little") + pa.compress(body, codec="zstd", asbytes=True)
+    yield _TEXTS, chunk, 0, len(ids), blob, packed(told)
+    train = ~np.array(outs, dtype=bool)
+    values, counts = tally(texts, train, depth)
+    bucket = _spread(values, depth, buckets)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for b, low, high in zip(range(buckets), cuts, cuts[1:]):
+        if high > low:
+            own = order[low:high]
+            yield _CODES, chunk, b, int(high - low), packed_codes(values[own]), packed(counts[own])
+    words = [Counter(), Counter()]
+    for text, out in zip(texts, outs):
+        words[out].update(text.split())
+        words[out][b""] += 1
+    dealt: dict[int, list[bytes]] = {}
+    for word in words[0].keys() | words[1].keys():
+        dealt.setdefault(xxhash.xxh64_intdigest(word) % buckets, []).append(word)
+    for b, own in dealt.items():
+        counts = np.array([words[0][w] for w in own], "<i8")
+        yield _WORDS, chunk, b, len(own), _told(own), packed(counts)
 
-def _spread(values: np.ndarray) -> np.ndarray:
-    x = (values >> np.uint64(8)) & np.uint64((1 << 8 * BUCKET_DEPTH) - 1)
-    return (x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
-
-
-def fit(training: DataFrame, depth: int = DEPTH, contexts: int = CONTEXTS) -> list[Level]:
-    """The frozen model from the next-byte counts of the most frequent contexts of each depth, over all
-    training texts. The counts of the kept contexts are bounded, so one task weighs them; the driver
-    only hands on the finished tables."""
-    size = training.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(MIN_BUCKETS, size // 8 // BUCKET)
-    tallies = pa.schema([("bucket", pa.int64()), ("codes", pa.binary()), ("counts", pa.binary())])
-    kept = pa.schema([("depth", pa.int32()), ("context", pa.int64()), ("byte", pa.int32()), ("n", pa.int64())])
-
-    def sent(values, counts):
-        bucket = (_spread(values) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        bucket, values, counts = bucket[order], values[order], counts[order]
-        cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-        rows = [(b, values[a:z].tobytes(), counts[a:z].tobytes()) for b, a, z in zip(range(buckets), cuts, cuts[1:]) if z > a]
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), tallies)], schema=tallies)
-
-    def count(batches):
-        held = None
-        for load in (load for chunk in _chunks(batches, depth) for load in _loads(chunk)):
-            new = tally(codes(load, depth))
-            held = _merged([held, new]) if held else new
-            if len(held[0]) > HELD:
-                yield sent(*held)
-                held = None
-        if held:
-            yield sent(*held)
-
-    def choose(table: pa.Table) -> pa.Table:
-        parts = [
-            (np.frombuffer(c, dtype=np.uint64), np.frombuffer(n, dtype=np.int64))
-            for c, n in zip(table.column("codes").to_pylist(), table.column("counts").to_pylist())
-        ]
-        values, counts = _merged(parts)
-        out = []
-        for d in range(depth + 1):
-            grams, n = _merged([(values & np.uint64((1 << 8 * (d + 1)) - 1), counts)])
-            context = grams >> np.uint64(8)
-            first = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
-            if d >= BUCKET_DEPTH:
-                totals = np.add.reduceat(n, first)
-                # By falling total, then by context, as the choice over all buckets has it.
-                best = np.zeros(len(first), dtype=bool)
-                best[np.lexsort((context[first], -totals))[:contexts]] = True
-                wanted = np.repeat(best, np.diff(np.append(first, len(n))))
-                grams, n, context = grams[wanted], n[wanted], context[wanted]
-            byte = (grams & np.uint64(255)).astype(np.int32)
-            out.append(pa.table([np.full(len(n), d, np.int32), context.astype(np.int64), byte, n], schema=kept))
-        return pa.concat_tables(out)
-
-    narrow = training.select("row", "text")
-    chosen = narrow.mapInArrow(count, "bucket long, codes binary, counts binary").groupBy("bucket")
-    grams = chosen.applyInArrow(choose, "depth int, context long, byte int, n long")
-    grams = stage(grams.groupBy("depth", "context", "byte").agg(F.sum("n").alias("n")), "contexts")
-    totals = grams.groupBy("depth", "context").agg(F.sum("n").alias("total"))
-    rank = F.row_number().over(Window.partitionBy("depth").orderBy(F.desc("total"), "context"))
-    top = totals.withColumn("rank", rank).where(F.col("rank") <= contexts)
-    model = pa.schema([("depth", pa.int32()), ("contexts", pa.binary()), ("logs", pa.binary())])
-
-    def build(table: pa.Table) -> pa.Table:
-        made = weigh(_levels(*(table.column(c).to_numpy() for c in ("depth", "context", "byte", "n")), depth))
-        rows = [(d, known.tobytes(), logs.tobytes()) for d, (known, logs) in enumerate(made)]
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), model)], schema=model)
-
-    kept_rows = grams.join(top, ["depth", "context"]).select("depth", "context", "byte", "n")
-    done = kept_rows.groupBy(F.lit(0).alias("all")).applyInArrow(build, "depth int, contexts binary, logs binary").toArrow()
-    if not done.num_rows:
-        return weigh([(np.zeros(1, np.uint64), np.zeros((1, 256)))])
-    out = [None] * done.num_rows
-    for d, known, logs in zip(*(done.column(c).to_pylist() for c in ("depth", "contexts", "logs"))):
-        out[d] = (np.frombuffer(known, np.uint64), np.frombuffer(logs, np.float32).reshape(-1, 256))
-    return out
-
-
-def _levels(depths: np.ndarray, context: np.ndarray, byte: np.ndarray, n: np.ndarray, depth: int) -> list[Level]:
-    """Dense next-byte counts; a context stays only if its shorter one does."""
-    context = context.astype(np.uint64)
-    out: list[Level] = []
-    for d in range(depth + 1):
-        own = depths == d
-        ranked = np.sort(context[own])
-        known = ranked[np.append(True, ranked[1:] != ranked[:-1])] if len(ranked) else ranked
-        if d:
-            known = known[np.isin(_shorter(known, d), out[-1][0])]
-        counts = np.zeros((len(known), 256))
-        at = np.searchsorted(known, context[own])
-        held = at < len(known)
-        held[held] = known[at[held]] == context[own][held]
-        counts[at[held], byte[own][held]] = n[own][held]
-        out.append((known, counts))
-    return out
 
+def _told(words: list[bytes]) -> bytes:
+    body = b"\n".join(words)
+    return len(body).to_bytes(8, "little") + pa.compress(body, codec="zstd", asbytes=True)
 
-def word_counts(rows: DataFrame) -> DataFrame:
-    """``word`` (empty: the end), ``n`` in training rows and ``n_all``, over all rows."""
-    schema = pa.schema([("word", pa.binary()), ("n", pa.int64()), ("n_all", pa.int64())])
 
-    def sent(train, rest):
-        words = list(train | rest)
-        own = [train[w] for w in words]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(words, pa.binary()), pa.array(own, pa.int64()), pa.array([n + rest[w] for w, n in zip(words, own)], pa.int64())],
-            schema=schema,
-        )
+def _body(blob: bytes) -> bytes:
+    size = int.from_bytes(blob[:8], "little")
+    return pa.decompress(blob[8:], decompressed_size=size, codec="zstd", asbytes=True) if size else b""
 
-    def count(batches):
-        train, rest = Counter(), Counter()
-        for batch in batches:
-            for out, text in zip(batch.column(0).to_pylist(), texts_of(batch)):
-                held = rest if out else train
-                held.update((text or b"").lower().split())
-                held[b""] += 1
-                if len(train) + len(rest) > HELD_WORDS:
-                    yield sent(train, rest)
-                    train, rest = Counter(), Counter()
-        if train or rest:
-            yield sent(train, rest)
 
-    counted = rows.select("held_out", "text").mapInArrow(count, "word binary, n long, n_all long")
-    return counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_all").alias("n_all"))
+def bucket_codes(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes of a bucket and their counts, a bounded number of pieces at a time."""
+    held, size = [], 0
+    for n, a, b in zip(*(table.column(c) for c in ("size", "a", "b"))):
+        n = n.as_py()
+        held.append((unpacked_codes(a.as_py(), n), unpacked(b.as_py(), "<i8", n)))
+        size += n
+        if size > FOLD:
+            held, size = [add_up(held)], 0
+    return add_up(held)
+
+
+def word_answers(table: pa.Table) -> pa.Table:
+    """Each chunk's words with their training counts over all chunks; chunk -1 has in ``a`` the numbers of
+    all training tokens and of distinct ones."""
+    total: Counter = Counter()
+    told = [
+        (chunk, n, a, _body(a).split(b"\n"), unpacked(b, "<i8", n))
+        for chunk, n, a, b in zip(*(table.column(c).to_pylist() for c in ("chunk", "size", "a", "b")))
+    ]
+    for _, _, _, words, counts in told:
+        for word, n in zip(words, counts.tolist()):
+            total[word] += n
+    rows = [(_WORDS, chunk, 0, n, a, packed(np.array([total[w] for w in words], "<i8"))) for chunk, n, a, words, _ in told]
+    sums = np.array([sum(total.values()), sum(n > 0 for n in total.values())], "<i8")
+    rows.append((_WORDS, -1, 0, 2, sums.tobytes(), b""))
+    return pa.Table.from_batches([_pieces(rows)])
+
+
+def score_chunk(texts: list[bytes], values: np.ndarray, logs: np.ndarray, depth: int) -> np.ndarray:
+    """Sum of the log probabilities of each text's bytes."""
+    out = np.zeros(len(texts))
+    for first, found, sizes in slices(texts, depth):
+        own = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
+        ranked = np.sort(found << np.uint64(8) | own)
+        code, own = ranked >> np.uint64(8), (ranked & np.uint64(255)).astype(np.int64)
+        head = _heads(code)
+        at = np.searchsorted(values, code[head])
+        each = np.repeat(logs[at], np.diff(np.append(head, len(code))))
+        out[first : first + len(sizes)] += np.bincount(own, each, len(sizes))
+    return out
 
 
-def score(docs: DataFrame, depth: int = DEPTH, contexts: int = CONTEXTS) -> DataFrame:
+def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """Per document: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``,
-    ``score`` (log10 probability of the text and its end) and ``bits_per_byte``."""
+    ``score`` (log10 probability of the text and its end) and ``bits_per_byte``. Depths 3 to 6."""
+    if not TOP < depth <= 6:
+        raise ValueError("a context has three to six bytes")
     spark = docs.sparkSession
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         held_out(F.col("doc_id")).alias("held_out"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    training = rows.where("not held_out").select(F.lit(0).alias("row"), "text")
-    model = spark.sparkContext.broadcast(fit(training, depth, contexts))
-    vocabulary = stage(word_counts(rows), "words")
-    total = vocabulary.agg(F.sum("n").alias("n"), F.count(F.when(F.col("n") > 0, 1)).alias("v")).first()
-    tokens, distinct = total["n"] or 0, total["v"]
-    frequent = vocabulary.orderBy(F.desc("n_all"), "word").limit(FREQUENT).select("word", "n").toArrow()
-    known = spark.sparkContext.broadcast(
-        dict(zip(frequent.column("word").to_pylist(), frequent.column("n").to_pylist()))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(MIN_BUCKETS, size // BUCKET)
+
+    def read(batches):
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId() << 32
+        ids, outs, texts, held = [], [], [], 0
+        for batch in batches:
+            for doc_id, out, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_of(batch)):
+                text = text.lower().replace(b"\xff", b"\xfe")
+                if texts and held + len(text) > CHUNK:
+                    yield _pieces(list(chunk_pieces(number, ids, outs, texts, depth, buckets)))
+                    number += 1
+                    ids, outs, texts, held = [], [], [], 0
+                ids.append(doc_id)
+                outs.append(out)
+                texts.append(text)
+                held += len(text)
+        if texts:
+            yield _pieces(list(chunk_pieces(number, ids, outs, texts, depth, buckets)))
+
+    pieces = stage(rows.mapInArrow(read, _PIECE_TYPES), "chunks", "kind").select(*_PIECE.names)
+    kind = lambda k: pieces.where(F.col("kind") == k)
+
+    def leave(table: pa.Table) -> pa.Table:
+        forest = Forest(*bucket_codes(table), depth)
+        under, counts = forest.left_for_top()
+        found = [[p.tobytes() for p in table] for table in (under, counts)]
+        return pa.table([pa.array(forest.pairs.astype(np.int64)), pa.array(found[0], pa.binary()), pa.array(found[1], pa.binary())], names=["pair", "under", "counts"])
+
+    def join(table: pa.Table) -> pa.Table:
+        under = sum(np.frombuffer(u) for u in sorted(table.column("under").to_pylist()))
+        counts = sum(np.frombuffer(c, np.int64) for c in table.column("counts").to_pylist())
+        return pa.table([table.column("pair").slice(0, 1), pa.array([under.tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary())], names=["pair", "under", "counts"])
+
+    def weigh(table: pa.Table) -> pa.Table:
+        order = np.argsort(table.column("pair").to_numpy())
+        pairs = table.column("pair").to_numpy()[order].astype(np.uint64)
+        under, counts = (
+            np.array([np.frombuffer(x, t) for x in table.column(c).take(pa.array(order)).to_pylist()])
+            for c, t in (("under", np.float64), ("counts", np.int64))
+        )
+        found = [[p.tobytes() for p in x.astype(np.float32)] for x in top_mixture(pairs, under, counts)]
+        return pa.table([pa.array(pairs.astype(np.int64)), pa.array(found[0], pa.binary()), pa.array(found[1], pa.binary())], names=["pair", "mass", "share"])
+
+    pair = "pair long, under binary, counts binary"
+    left = kind(_CODES).groupBy("bucket").applyInArrow(leave, pair).groupBy("pair").applyInArrow(join, pair)
+    top = left.groupBy(F.lit(0).alias("all")).applyInArrow(weigh, "pair long, mass binary, share binary").toArrow()
+    shared = spark.sparkContext.broadcast(
+        tuple(
+            np.frombuffer(b"".join(top.column(c).to_pylist()), np.float32).reshape(-1, 255) if c != "pair" else top.column(c).to_numpy()
+            for c in ("pair", "mass", "share")
+        )
+        if top.num_rows
+        else None
     )
+
+    def answer(table: pa.Table) -> pa.Table:
+        values, counts = bucket_codes(table)
+        forest = Forest(values, counts, depth)
+        names, mass, share = shared.value
+        at = np.searchsorted(names, forest.pairs.astype(np.int64))
+        logs = forest.logs(mass[at].astype(np.float64), share[at].astype(np.float64)).astype("<f4")
+        del forest
+        out = []
+        for chunk, n, a in zip(*(table.column(c) for c in ("chunk", "size", "a"))):
+            n, a = n.as_py(), a.as_py()
+            own = logs[np.searchsorted(values, unpacked_codes(a, n))]
+            out.append((_CODES, chunk.as_py(), 0, n, a, own.tobytes()))
+        return pa.Table.from_batches([_pieces(out)])
+
+    words = stage(kind(_WORDS).groupBy("bucket").applyInArrow(word_answers, _PIECE_TYPES), "chunk-words")
+    sums = words.where("chunk = -1").mapInArrow(_sums, "tokens long, distinct long")
+    found = sums.agg(F.sum("tokens").alias("tokens"), F.sum("distinct").alias("distinct")).first()
+    tokens, distinct = found["tokens"] or 0, found["distinct"] or 0
+
     schema = pa.schema(
         [
-            ("doc_id", pa.int64()),
-            ("held_out", pa.bool_()),
-            ("n_bytes", pa.int64()),
-            ("n_tokens", pa.int64()),
-            ("n_known", pa.int64()),
-            ("logs", pa.float64()),
-            ("score", pa.float64()),
-            ("rare", pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))),
+            ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+            ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("bits_per_byte", pa.float64()),
         ]
     )
 
-    def run(batches):
-        counts, levels = known.value, model.value
-
-        def of(chunk, outs):
-            sums = []
-            for load in _loads(chunk):
-                each = score_codes(codes(load, len(levels) - 1), levels)
-                ends = np.cumsum([len(part) for _, part in load])
-                sums += np.add.reduceat(each, np.concatenate([[0], ends[:-1]])).tolist()
-            if len(chunk) == 1:
-                sums = [math.fsum(sums)]
-            for (doc_id, text, _), out, own in zip(chunk, outs, sums):
-                words = Counter(text.split())
-                words[b""] = 1
-                seen, logs, rare = 0, 0.0, []
-                for word, times in words.items():
-                    n = counts.get(word)
-                    if n is None:
-                        rare.append({"word": word, "times": times})
-                    elif n:
-                        seen += times
-                        logs += times * math.log10(n + 1)
-                yield doc_id, out, len(text) + 1, words.total(), seen, logs, own, rare
-
-        flags: list[bool] = []
-
-        def tapped():
-            for batch in batches:
-                flags.extend(batch.column(1).to_pylist())
-                yield batch.select(["doc_id", "text"])
-
-        for chunk in _chunks(tapped(), len(model.value) - 1):
-            outs = flags[: len(chunk)]
-            del flags[: len(chunk)]
-            for low in range(0, len(chunk), 1024):
-                part = list(of(chunk[low : low + 1024], outs[low : low + 1024]))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part), schema)], schema=schema)
-
-    scored = rows.select("doc_id", "held_out", "text").mapInArrow(
-        run,
-        "doc_id long, held_out boolean, n_bytes long, n_tokens long, n_known long, logs double, score double, "
-        "rare array<struct<word: binary, times: long>>",
-    )
-    scored = stage(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
-    rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.times")
-    rare = rare.join(vocabulary.select("word", "n"), "word")
-    rare = rare.groupBy("row").agg(
-        F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("rare_logs"),
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-    )
-    out = scored.drop("rare").join(rare, "row", "left")
-    logs = F.col("logs") + F.coalesce("rare_logs", F.lit(0.0))
-    return out.select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"),
-        (logs - F.col("n_tokens") * F.lit(math.log10(tokens + distinct + 1))).alias("base_score"),
-        "score",
-        (-F.col("score") * F.lit(math.log2(10)) / F.col("n_bytes")).alias("bits_per_byte"),
+    def finish(own: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = []
+        values, logs, known = [], [], {}
+        for k, n, a, b in zip(*(answers.column(c) for c in ("kind", "size", "a", "b"))):
+            n, a, b = n.as_py(), a.as_py(), b.as_py()
+            if k.as_py() == _CODES:
+                values.append(unpacked_codes(a, n))
+                logs.append(np.frombuffer(b, "<f4"))
+            else:
+                known.update(zip(_body(a).split(b"\n"), unpacked(b, "<i8", n).tolist()))
+        if values:
+            values, logs = np.concatenate(values), np.concatenate(logs)
+            order = np.argsort(values, kind="stable")
+            values, logs = values[order], logs[order].astype(np.float64)
+        log_of = {w: math.log10(n + 1) for w, n in known.items()}
+        seen = {w: n > 0 for w, n in known.items()}
+        rate = math.log10(tokens + distinct + 1)
+        for n, a, b in zip(*(own.column(c).to_pylist() for c in ("size", "a", "b"))):
+            ids, valid, outs = unpacked(b, "<i8", 3 * n).reshape(3, n).tolist()
+            texts = _body(a).split(bytes([END]))
+            for i, text, total in zip(range(n), texts, score_chunk(texts, values, logs, depth).tolist()):
+                said = text.split()
+                said.append(b"")
+                base = math.fsum(map(log_of.__getitem__, said)) - len(said) * rate
+                rows.append(
+                    (
+                        ids[i] if valid[i] else None, bool(outs[i]), len(said), sum(map(seen.__getitem__, said)), tokens,
+                        base, total, -total * math.log2(10) / (len(text) + 1),
+                    )
+                )
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [()] * len(schema), schema)], schema=schema)
+
+    answers = kind(_CODES).groupBy("bucket").applyInArrow(answer, _PIECE_TYPES).unionByName(words.where("chunk >= 0"))
+    return (
+        kind(_TEXTS)
+        .groupBy("chunk")
+        .cogroup(answers.groupBy("chunk"))
+        .applyInArrow(
+            finish,
+            "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
+            "score double, bits_per_byte double",
+        )
     )
+
+
+def _sums(batches):
+    for batch in batches:
+        each = np.array([np.frombuffer(a, "<i8") for a in batch.column(batch.schema.get_field_index("a")).to_pylist()])
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in each.reshape(-1, 2).T], names=["tokens", "distinct"])

@@ -1,6 +1,7 @@
 """Operators on whole texts against plain versions."""
 
 import collections
+import functools
 import hashlib
 import math
 import random
@@ -377,6 +378,7 @@ def plain_tree(training, depth):
     def kt(zeros, ones):
         return sum(map(math.log, (i + 0.5 for i in range(zeros)))) + sum(map(math.log, (i + 0.5 for i in range(ones)))) - math.lgamma(zeros + ones + 1)
 
+    @functools.cache
     def weighted(context, prefix):
         own = kt(*counts[context, prefix])
         if len(context) == depth or not children[context, prefix]:
@@ -403,45 +405,111 @@ def plain_tree(training, depth):
     return score
 
 
-def test_context_tree_follows_its_definition():
-    training = [b"abab abba", b"abracadabra", b"", b"abab"]
-    levels = []
-    values = context_tree.codes([p for t in training for p in context_tree.stretches(t, 2)], 2)
-    for d in range(3):
-        grams, n = context_tree.tally(values & np.uint64((1 << 8 * (d + 1)) - 1))
-        contexts = np.unique(grams >> np.uint64(8))
-        table = np.zeros((len(contexts), 256))
-        table[np.searchsorted(contexts, grams >> np.uint64(8)), (grams & np.uint64(255)).astype(int)] = n
-        levels.append((contexts, table))
-    model, plain = context_tree.weigh(levels), plain_tree(training, 2)
-    for text in (b"abab", b"abra", b"", b"cab"):
-        got = context_tree.score_codes(context_tree.codes(context_tree.stretches(text, 2), 2), model).sum()
-        assert got == pytest.approx(plain(text), abs=1e-4)
+def forest_scores(training, others, depth):
+    """Log probabilities of all texts with one bucket, without Spark."""
+    texts = training + others
+    train = np.array([True] * len(training) + [False] * len(others))
+    values, counts = context_tree.tally(texts, train, depth)
+    forest = context_tree.Forest(values, counts, depth)
+    mass, share = context_tree.top_mixture(forest.pairs, *forest.left_for_top())
+    return context_tree.score_chunk(texts, values, forest.logs(mass, share), depth)
 
 
-def test_bytes_have_probability_one():
-    model = context_tree.weigh([(np.zeros(1, np.uint64), np.arange(256.0)[None, :])])
-    assert (10.0 ** model[0][1]).sum() == pytest.approx(1, abs=1e-5)
+@pytest.mark.parametrize("depth", [3, 4, 6])
+def test_context_tree_follows_its_definition(depth):
+    training = [b"abab abba", b"abracadabra", b"", b"abab", "été".encode()]
+    others = [b"abra", b"", b"cab", b"zzz never seen", "tété".encode(), b"abababab" * 3]
+    plain = plain_tree(training, depth)
+    assert forest_scores(training, others, depth).tolist() == pytest.approx([plain(t) for t in training + others], abs=1e-9)
+
+
+def test_codes_are_contexts_and_bytes(monkeypatch):
+    monkeypatch.setattr(context_tree, "SLICE", 10)
+    monkeypatch.setattr(context_tree, "SHARED", 3)
+    texts = [b"ab", b"", b"x" * 35, b"hello", b"q", b"", b"w", b"a" * 10]
+    for depth in (3, 6):
+        got = collections.defaultdict(list)
+        for first, found, sizes in context_tree.slices(texts, depth):
+            assert sum(sizes) == len(found)
+            cuts = np.cumsum([0, *sizes])
+            for i in range(len(sizes)):
+                got[first + i] += found[cuts[i] : cuts[i + 1]].tolist()
+        for i, text in enumerate(texts):
+            line = bytes([255]) * depth + text + bytes([255])
+            want = [int.from_bytes(line[j : j + depth][::-1] + line[j + depth : j + depth + 1], "big") for j in range(len(text) + 1)]
+            assert got[i] == want
+
+
+def test_packed_numbers_come_back():
+    values = np.unique(np.random.default_rng(1).integers(0, 1 << 56, 1000).astype(np.uint64))
+    assert (context_tree.unpacked_codes(context_tree.packed_codes(values), len(values)) == values).all()
+    for kind in ("<i8", "<f4"):
+        some = np.arange(-5, 5).astype(kind)
+        assert (context_tree.unpacked(context_tree.packed(some), kind, len(some)) == some).all()
+
 
+def test_estimates_of_long_runs():
+    zeros, ones = np.array([0, 3, 63, 64, 1000, 10**7]), np.array([0, 100, 63, 0, 5, 10**6])
+    plain = [math.lgamma(z + 0.5) + math.lgamma(o + 0.5) - 2 * math.lgamma(0.5) - math.lgamma(z + o + 1) for z, o in zip(zeros, ones)]
+    assert context_tree.log_kt(zeros, ones).tolist() == pytest.approx(plain, rel=1e-12, abs=1e-9)
 
-def test_scores(docs, texts, odd, empty, monkeypatch):
-    monkeypatch.setattr(context_tree, "FREQUENT", 30)
-    monkeypatch.setattr(context_tree, "CHUNK", 5_000)
-    training = [t for d, t in texts if zlib.crc32(str(d).encode()) % 7 != 2]
-    counts = collections.Counter(w for t in training for w in (t or "").encode().lower().split())
-    counts[None] = len(training)
+
+def test_bytes_have_probability_one():
+    training = [b"the cat sat", b"the mat", b"a cat"]
+    texts = [b"the c" + bytes([b]) for b in range(255)] + [b"the c"]
+    values, counts = context_tree.tally(training + texts, np.arange(len(training) + len(texts)) < len(training), 3)
+    forest = context_tree.Forest(values, counts, 3)
+    logs = forest.logs(*context_tree.top_mixture(forest.pairs, *forest.left_for_top()))
+    context = int.from_bytes(b"e c"[::-1], "big")
+    assert (10 ** logs[(values >> np.uint64(8)) == context]).sum() == pytest.approx(1, abs=1e-9)
+
+
+def plain_base(texts, doc_ids):
+    """Per document: tokens, known tokens, training tokens and the base score."""
+    held = [zlib.crc32(("" if d is None else str(d)).encode()) % 7 == 2 for d in doc_ids]
+    said = [[*(t or "").encode().lower().split(), None] for t in texts]
+    counts = collections.Counter(w for own, out in zip(said, held) if not out for w in own)
     tokens, distinct = sum(counts.values()), len(counts)
-    got = context_tree.score(docs, depth=4, contexts=200).collect()
+    return [
+        (out, len(own), sum(counts[w] > 0 for w in own), tokens, sum(math.log10((counts[w] + 1) / (tokens + distinct + 1)) for w in own))
+        for own, out in zip(said, held)
+    ]
+
+
+def test_scores(docs, texts, odd, empty):
+    got = {r.doc_id: r for r in context_tree.score(docs).collect()}
     assert len(got) == len(texts)
-    for r in got:
-        own = [*(dict(texts)[r.doc_id] or "").encode().lower().split(), None]
-        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 7 == 2)
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), sum(counts[w] > 0 for w in own), tokens)
-        assert r.base_score == pytest.approx(sum(math.log10((counts[w] + 1) / (tokens + distinct + 1)) for w in own))
-        assert r.score < 0
-    assert sum(r.score for r in got if r.held_out) / sum(r.n_tokens for r in got if r.held_out) > -8
-    assert len(context_tree.score(odd, depth=2).collect()) == 4
-    assert context_tree.score(empty, depth=2).collect() == []
+    for (doc_id, text), base in zip(texts, plain_base([t for _, t in texts], [d for d, _ in texts])):
+        r = got[doc_id]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == base[:4]
+        assert r.base_score == pytest.approx(base[4])
+        assert r.bits_per_byte == pytest.approx(-r.score * math.log2(10) / (len((text or "").encode()) + 1))
+    assert sum(r.score for r in got.values() if r.held_out) / sum(r.n_tokens for r in got.values() if r.held_out) > -8
+    rows = context_tree.score(odd, depth=3).collect()
+    assert sorted(r.doc_id or 0 for r in rows) == [0, 7, 7, 7] and rows[0].asDict().keys() == next(iter(got.values())).asDict().keys()
+    assert context_tree.score(empty, depth=3).collect() == []
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_scores_follow_the_definition(spark, monkeypatch, small):
+    """The whole operator at full depth, also when texts are cut into many slices, chunks and folds."""
+    if small:
+        for name, value in {"CHUNK": 300, "SLICE": 100, "SHARED": 3, "BUCKET": 100, "FOLD": 50}.items():
+            monkeypatch.setattr(context_tree, name, value)
+    draw = random.Random(8)
+    bits = ["the ", "and ", "Ein ", "été ", "x", "\n", "日本", "aaaa", "!"]
+    rows = [(i, "".join(draw.choice(bits) for _ in range(draw.randrange(40)))) for i in range(30)]
+    rows += [(None, "no id trains"), (40, None), (41, ""), (42, "ab" * 200), (3, rows[3][1]), (1000, "unseen $ signs")]
+    training = [(t or "").lower().encode() for d, t in rows if zlib.crc32(("" if d is None else str(d)).encode()) % 7 != 2]
+    plain = plain_tree(training, context_tree.DEPTH)
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"chunk": F.lit(1), "kind": F.lit(2)}).repartition(3)
+    got = sorted(((r.doc_id or -1, r.score) for r in context_tree.score(df).collect()))
+    want = sorted(((d or -1, plain((t or "").lower().encode())) for d, t in rows))
+    assert [d for d, _ in got] == [d for d, _ in want]
+    assert [v for _, v in got] == pytest.approx([v for _, v in want], rel=1e-5)
+    nothing = spark.createDataFrame([(d, "ab") for d in range(200)], "doc_id long, text string").where(context_tree.held_out(F.col("doc_id")))
+    # Without training rows every bit has probability one half.
+    assert {round(r.score / math.log10(0.5), 3) for r in context_tree.score(nothing).collect()} == {24.0}
 
 
 # ---- personal data -----------------------------------------------------------------------------
