@@ -26,6 +26,23 @@ def unnest_instances(pages: DataFrame, *carry: str) -> DataFrame:
     return instances.withColumn(INSTANCE, F.from_json("raw_data", INSTANCE_DOC))
 
 
+def listed_instances(pages: DataFrame, *carry: str) -> DataFrame:
+    """Everything a later step needs to know of the pages, parsed once: a row per instance, with its text,
+    and one row without text per page that did not parse (``malformed``)."""
+    whole = F.when(~F.col("malformed"), F.col("Reservations"))
+    reservations = pages.select(*carry, "malformed", F.explode_outer(whole).alias("reservation"))
+    instances = reservations.select(*carry, "malformed", F.explode_outer("reservation.Instances").alias("raw_data"))
+    return instances.where(F.col("malformed") | F.col("raw_data").isNotNull())
+
+
+def parsed_instances(listed: DataFrame) -> DataFrame:
+    """Instances with their parsed documents, of scopes whose pages all parsed: a malformed page leaves its
+    account and region incomplete, like any failure while listing them."""
+    broken = listed.where("malformed").select("account_id", "region").distinct()
+    whole = listed.where(~F.col("malformed")).drop("malformed").join(broken, ["account_id", "region"], "left_anti")
+    return whole.withColumn(INSTANCE, F.from_json("raw_data", INSTANCE_DOC))
+
+
 def require_id(df: DataFrame, *ids: str) -> DataFrame:
     """Rows whose ids are all present and not blank."""
     for name in ids:

@@ -118,6 +118,30 @@ def daily_values(
     return branches[0].unionByName(branches[1])
 
 
+DAY = ("client_id", "account_id", "resource_id", "metric_date")
+# Lists of changed days up to this length are broadcast; beyond it they are joined like any table.
+BROADCAST_DAYS = 1_000_000
+
+
+def changed_days(raw: DataFrame) -> DataFrame:
+    """The days of resources that a batch of raw points touches. A point never moves to another day,
+    since its time is part of its key: no other day's values can differ after the batch is merged."""
+    return raw.select(*DAY).distinct()
+
+
+def only_days(raw: DataFrame, days: DataFrame) -> DataFrame:
+    """The stored raw points of the changed days. ``days`` must be cheap to read repeatedly.
+
+    The span of the days is a plain predicate, which skips files and row groups; the days themselves
+    are joined, and skip directories at run time if there are few enough to broadcast.
+    """
+    count, first, last = days.agg(F.count(F.lit(1)), F.min("metric_date"), F.max("metric_date")).first()
+    wanted = days.select(*DAY).where(F.col("metric_date") <= last) if count else days.select(*DAY)
+    if count <= BROADCAST_DAYS:
+        wanted = F.broadcast(wanted)
+    return raw.where(F.col("metric_date").between(first, last)).join(wanted, list(DAY), "left_semi")
+
+
 def unique_daily(daily: DataFrame) -> DataFrame:
     """One row per key of the daily tables. Done before the projection: what is shuffled has no
     columns that only repeat constants."""

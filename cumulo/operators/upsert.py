@@ -253,6 +253,25 @@ def touched_partitions(batch: DataFrame, target: DataFrame, table: Table) -> Par
     return Partitions(matched, table.partitions, f"touched-{table.name}")
 
 
+def remove_keys(keys: DataFrame, name: str, table: Table) -> None:
+    """Delete the stored rows with these keys. ``keys`` must be staged; on Parquet the partitions they lie in
+    are written once without them, and those left without rows are dropped."""
+    spark = keys.sparkSession
+    if table_provider(spark, name) in ROW_LEVEL_PROVIDERS:
+        target = name.split(".")[-1]
+        match = " AND ".join(f"{_quoted(target)}.{_quoted(k)} = source.{_quoted(k)}" for k in table.keys)
+        keys.select(*table.keys).alias("source").mergeInto(name, F.expr(match)).whenMatched().delete().merge()
+        return
+    spark.catalog.refreshTable(name)
+    target = spark.table(name)
+    keys = as_stored(keys, table)
+    touched = touched_partitions(keys, target, table)
+    if touched.count:
+        kept = _matches(touched.restrict(target), keys, table.keys, "left_anti")
+        folder = _write_apart(kept, name, table)
+        _delete(spark, _point_partitions(spark, name, table, touched, folder))
+
+
 def _rewrite_partitions(batch: DataFrame, name: str, table: Table) -> None:
     spark = batch.sparkSession
     spark.catalog.refreshTable(name)

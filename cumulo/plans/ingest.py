@@ -7,7 +7,7 @@ several writes consume is staged once in the shared folder.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
@@ -16,14 +16,15 @@ from pyspark.sql import functions as F
 
 from cumulo.operators import points as P
 from cumulo.operators.reports import hard_failures, without_failed_scopes
-from cumulo.operators.rollup import daily_projection, daily_values, unique_daily
+from cumulo.operators.rollup import DAY, changed_days, daily_projection, daily_values, only_days, unique_daily
 from cumulo.operators.shape import client_list, for_clients, keep_last, stamp
-from cumulo.operators.upsert import as_stored, ensure_table, merge_batch
+from cumulo.operators.upsert import append, as_stored, ensure_table, merge_batch, remove_keys
 from cumulo.plans.params import IngestParams
 from cumulo.plans.services import Service, active_services, service_named
-from cumulo.schemas import DAILY_TABLES, Table
+from cumulo.schemas import CHANGED_DAYS, DAILY_TABLES, Table
 from cumulo.session import configure, stage
 from cumulo.sources.landed import ARRIVAL, read_error_log, read_inventory_pages, read_metric_results
+from cumulo.sources.ledger import Ledger
 from cumulo.sources.tables import read_raw_metrics
 
 _RUN_LOG = "table_name string, rows_fetched long, rows_merged long, failed long"
@@ -34,14 +35,16 @@ class Landed:
     """Folders of landed documents, partitioned by account and region, and of landing errors.
 
     Folders that are also partitioned by ``run`` are read for the named run only: an instance that
-    is gone keeps its last state, and old landings are not parsed again. Without a run all landed
-    documents are read, and each point counts as it last arrived.
+    is gone keeps its last state, and old landings are not parsed again. A run that landed nothing is an
+    error. Without a run all landed documents are read, and each point counts as it last arrived; with
+    ``once`` only the files that no job has consumed yet, as a ledger in the database tells.
     """
 
     inventory: str
     metrics: str
     errors: str | None = None
     run: str | None = None
+    once: bool = False
 
 
 def run_ingest(
@@ -70,30 +73,33 @@ def _ingest_service(
 ) -> list[tuple]:
     accounts, regions = params.accounts or None, params.regions or None
     scope = (accounts, regions, landed.run)
-    pages = read_inventory_pages(spark, landed.inventory, *scope)
+    ledger = Ledger(spark, params.database) if landed.once else None
+    taken = lambda folder: ledger.take(folder, accounts, regions) if ledger else None
+    pages = read_inventory_pages(spark, landed.inventory, *scope, taken(landed.inventory))
     failures = 0
     if landed.errors:
         errors = read_error_log(spark, landed.errors, *scope).where(F.col("service_name") == service.name)
         pages = without_failed_scopes(pages, errors)
         failures = hard_failures(errors).count()
-    # A page that does not parse leaves its scope incomplete, like any failure while listing it. Spark
-    # wants a column of content beside the corrupt-record column.
-    broken = pages.where("malformed").groupBy("account_id", "region")
-    broken = broken.agg(F.count("Reservations").alias("read_in_part"), F.count(F.lit(1)).alias("pages"))
-    broken = stage(broken, "broken")
-    failures += broken.agg(F.sum("pages")).first()[0] or 0
-    pages = pages.join(broken, ["account_id", "region"], "left_anti")
-    found, fetched = _counted(service.resources(pages))
+    # Parsed once: what is staged also tells of the pages that did not parse.
+    listed = stage(service.listed(pages), "listed")
+    failures += listed.where("malformed").count()
+    found, fetched = _counted(service.resources(listed))
     resources = stage(keep_last(found, P.INSTANCE_KEYS, ARRIVAL), "resources")
     inventory = stamp(resources, params.client_id, run_time)
     log = [_merge(inventory, service.inventory, params, fetched, failures)]
+    if service.metrics is None:
+        return log
+    if ledger:
+        # Results may land long after the pages of their instances.
+        resources = stage(_with_stored(resources, service, params, accounts, regions), "known")
     # Without instances there is nothing to measure; without points the roll-up still runs.
-    if service.metrics is None or log[0][1] == 0:
+    if resources.isEmpty() if ledger else log[0][1] == 0:
         return log
 
     # Parsed once, with the malformed documents counted on the way.
     seen = Observation()
-    results = read_metric_results(spark, landed.metrics, *scope)
+    results = read_metric_results(spark, landed.metrics, *scope, taken(landed.metrics))
     results = results.observe(seen, F.count(F.when(F.col("malformed"), 1)).alias("malformed"))
     blocks = stage(P.valid_blocks(results), "blocks")
     series = P.expected_series(
@@ -112,6 +118,8 @@ def _ingest_service(
         unique, resources, service.specs, service_name=service.name, namespace=service.namespace
     )
     raw = stage(as_stored(stamp(raw, params.client_id, run_time), service.metrics), "raw")
+    if params.changes_only:
+        _note_changes(raw, params, run_time)
     log.append(_merge(raw, service.metrics, params, fetched, seen.get["malformed"]))
 
     stored = read_raw_metrics(
@@ -124,9 +132,55 @@ def _ingest_service(
         as_of=run_time.astimezone(dt.timezone.utc).date(),
         window_days=params.window_days,
     )
+    if params.changes_only:
+        days = stage(_pending(spark, params, accounts), "changed-days")
+        stored = only_days(stored, days)
     values = unique_daily(daily_values(stored, service.specs, service.percentile))
     daily = stage(daily_projection(values, service.namespace, run_time), "daily")
-    return log + [_merge(daily, table, params) for table in DAILY_TABLES]
+    log += [_merge(daily, table, params) for table in DAILY_TABLES]
+    if params.changes_only:
+        _forget_changes(days, params)
+    if ledger:
+        ledger.note(service.name, run_time)
+    return log
+
+
+def _with_stored(
+    resources: DataFrame, service: Service, params: IngestParams, accounts: Sequence[str] | None, regions: Sequence[str] | None
+) -> DataFrame:
+    """The resources of this landing and those stored by earlier ones, made anew from their documents."""
+    stored = resources.sparkSession.table(f"{params.database}.{service.inventory.name}")
+    stored = stored.where(F.col("client_id") == params.client_id)
+    for column, wanted in (("account_id", accounts), ("region", regions)):
+        if wanted is not None:
+            stored = stored.where(F.col(column).isin(*wanted))
+    listed = stored.select("account_id", "region", "raw_data", F.lit(False).alias("malformed"))
+    again = service.resources(listed).join(resources, list(P.INSTANCE_KEYS), "left_anti")
+    return resources.unionByName(again, allowMissingColumns=True)
+
+
+# Days whose raw points changed are stored before the points are merged and forgotten after their daily rows
+# are: a job that stops in between leaves them to the next one.
+
+
+def _note_changes(raw: DataFrame, params: IngestParams, run_time: dt.datetime) -> None:
+    name = ensure_table(raw.sparkSession, params.database, CHANGED_DAYS, provider=params.provider, warehouse=params.warehouse or None)
+    batch = run_time.astimezone(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
+    append(changed_days(raw).withColumn("batch", F.lit(batch)), name, CHANGED_DAYS)
+
+
+def _pending(spark: SparkSession, params: IngestParams, accounts: Sequence[str] | None) -> DataFrame:
+    days = spark.table(f"{params.database}.{CHANGED_DAYS.name}").where(F.col("client_id") == params.client_id)
+    if accounts is not None:
+        days = days.where(F.col("account_id").isin(*accounts))
+    return days.groupBy(*DAY).agg(F.collect_set("batch").alias("batches"))
+
+
+def _forget_changes(days: DataFrame, params: IngestParams) -> None:
+    """Leave only what other tenants and accounts still have to roll up."""
+    name = f"{params.database}.{CHANGED_DAYS.name}"
+    done = days.select(*DAY, F.explode("batches").alias("batch"))
+    remove_keys(done, name, CHANGED_DAYS)
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:

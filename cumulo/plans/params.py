@@ -25,6 +25,8 @@ class IngestParams:
     window_days: int = 7
     provider: str = "parquet"
     warehouse: str = ""
+    # Roll up the look-back window, or only the days that raw points were merged into since they were last rolled up.
+    changes_only: bool = False
 
 
 def _items(text: str | None) -> list[str]:

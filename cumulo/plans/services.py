@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from cumulo.operators.catalog import DEFAULT_SERVICE, active_codes, registered_codes
-from cumulo.operators.inventory import flatten_instances, unnest_instances
+from cumulo.operators.inventory import flatten_instances, listed_instances, parsed_instances
 from cumulo.schemas import (
     INSTANCE_SPECS,
     INVENTORY,
@@ -24,6 +24,8 @@ class Service:
     name: str
     namespace: str
     inventory: Table
+    # Pages as rows to stage, and staged rows as resources.
+    listed: Callable[[DataFrame], DataFrame]
     resources: Callable[[DataFrame], DataFrame]
     metrics: Table | None = None
     instance_specs: tuple[MetricSpec, ...] = ()
@@ -61,9 +63,12 @@ def active_services(requested: Sequence[str], catalog: DataFrame | None) -> list
     return sorted(row.service_code for row in codes.collect())
 
 
-def _compute_instances(pages: DataFrame) -> DataFrame:
-    carried = [c for c in pages.columns if c != "Reservations"]
-    return flatten_instances(unnest_instances(pages, *carried))
+def _listed(pages: DataFrame) -> DataFrame:
+    return listed_instances(pages, *[c for c in pages.columns if c not in ("Reservations", "malformed")])
+
+
+def _compute_instances(listed: DataFrame) -> DataFrame:
+    return flatten_instances(parsed_instances(listed))
 
 
 register(
@@ -71,6 +76,7 @@ register(
         name="EC2",
         namespace="AWS/EC2",
         inventory=INVENTORY,
+        listed=_listed,
         resources=_compute_instances,
         metrics=RAW_METRICS,
         instance_specs=INSTANCE_SPECS,

@@ -148,6 +148,26 @@ DAILY_METRICS_COPY = Table(
 )
 DAILY_TABLES = (DAILY_METRICS, DAILY_METRICS_COPY)
 
+# Bookkeeping of the jobs, of this library's own making.
+LEDGER = Table(
+    "landed_files",
+    keys=("path", "size", "modified"),
+    partitions=("service_name",),
+    schema=declared_schema(
+        {"path": "string", "size": "long", "modified": "timestamp", "job_runtime_utc": "timestamp", "service_name": "string"}
+    ),
+    path_suffix="jobs/landed_files",
+)
+CHANGED_DAYS = Table(
+    "changed_days",
+    keys=("client_id", "account_id", "resource_id", "metric_date", "batch"),
+    partitions=("batch",),
+    schema=declared_schema(
+        {"client_id": "string", "account_id": "string", "resource_id": "string", "metric_date": "string", "batch": "string"}
+    ),
+    path_suffix="jobs/changed_days",
+)
+
 # ---------------------------------------------------------------------------------------------
 # Metric specifications of the compute service
 # ---------------------------------------------------------------------------------------------

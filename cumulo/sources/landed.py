@@ -46,12 +46,21 @@ def _scoped(
     run: str | None,
 ) -> DataFrame:
     if accounts is not None:
-        df = df.where(F.col("account_id").isin(*accounts))
+        df = df.where(F.col("account_id").isin(*accounts) if accounts else F.lit(False))
     if regions is not None:
-        df = df.where(F.col("region").isin(*regions))
+        df = df.where(F.col("region").isin(*regions) if regions else F.lit(False))
     return df if run is None else df.where(F.col("run") == run)
 
 
+# Besides control characters, those that a partition's directory name has as %XX.
+_ESCAPED = "\"#%'*/:=?\\\x7f{[]^"
+
+
+def run_folder(path: str, run: str) -> str:
+    name = "".join(f"%{ord(c):02X}" if c < " " or c in _ESCAPED else c for c in run)
+    return f"{path.rstrip('/')}/run={name}"
+
+
 def _read(
     spark: SparkSession,
     schema: T.StructType,
@@ -59,10 +68,16 @@ def _read(
     accounts: Sequence[str] | None,
     regions: Sequence[str] | None,
     run: str | None,
+    files: Sequence[str] | None = None,
 ) -> DataFrame:
+    """A run that matches no directory is an error; ``files`` names the only files to read."""
     text = T.StringType()
     extra = [T.StructField(_CORRUPT, text)] + ([] if run is None else [T.StructField("run", text)])
-    df = spark.read.schema(T.StructType(schema.fields + extra)).json(path)
+    reader = spark.read.schema(T.StructType(schema.fields + extra)).option("basePath", path)
+    if files is not None and not files:
+        # Nothing to read still has the columns of what could be read.
+        return _read(spark, schema, path, (), (), run)
+    df = reader.json(list(files) if files is not None else path if run is None else run_folder(path, run))
     return _scoped(df, accounts, regions, run).select(
         *[f.name for f in schema],
         F.col(_CORRUPT).isNotNull().alias("malformed"),
@@ -79,12 +94,13 @@ def read_inventory_pages(
     accounts: Sequence[str] | None = None,
     regions: Sequence[str] | None = None,
     run: str | None = None,
+    files: Sequence[str] | None = None,
 ) -> DataFrame:
     """Pages under ``path/[run=…/]account_id=…/region=…``; run and scope prune directories.
 
     A document that does not parse is a row with ``malformed`` set and without content.
     """
-    return _read(spark, _PAGE, path, accounts, regions, run)
+    return _read(spark, _PAGE, path, accounts, regions, run, files)
 
 
 def read_metric_results(
@@ -93,12 +109,13 @@ def read_metric_results(
     accounts: Sequence[str] | None = None,
     regions: Sequence[str] | None = None,
     run: str | None = None,
+    files: Sequence[str] | None = None,
 ) -> DataFrame:
     """Result blocks under ``path/[run=…/]account_id=…/region=…``: ``Id``, ``Timestamps``, ``Values``.
 
     Further pages of a result are simply further rows; malformed ones are marked as in pages.
     """
-    return _read(spark, _RESULT, path, accounts, regions, run)
+    return _read(spark, _RESULT, path, accounts, regions, run, files)
 
 
 def read_error_log(

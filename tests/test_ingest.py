@@ -204,3 +204,113 @@ def test_runs_and_months_prune_directories(spark, database, landed, tmp_path):
     )
     plan = stored._jdf.queryExecution().executedPlan().toString()
     assert "2024-01" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_a_run_that_landed_nothing_is_an_error(spark, database, landed, run_time):
+    from pyspark.errors import AnalysisException
+
+    with pytest.raises(AnalysisException, match="run=r1"):
+        run_ingest(spark, IngestParams("c1", database), Landed(landed.inventory, landed.metrics, run="r1"), run_time)
+
+
+def test_run_names_are_found_as_spark_writes_them(spark, tmp_path):
+    name = "2024-01-31T00:00:00 #1=a%b/c[d]{e}"
+    rows = spark.createDataFrame([("a", name, "1", "r")], "Id string, run string, account_id string, region string")
+    rows.write.partitionBy("run", "account_id", "region").json(str(tmp_path / "runs"))
+    assert [r.Id for r in read_metric_results(spark, str(tmp_path / "runs"), run=name).collect()] == ["a"]
+
+
+def test_pages_are_parsed_once(spark, database, landed, run_time, monkeypatch):
+    """One scan of JSON pages feeds the malformed count, the failed scopes and the inventory."""
+    from cumulo.plans import ingest
+
+    scans = []
+    real = ingest.stage
+
+    def seen(df, label, *partitions):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        scans.append((label, plan.count("Reservations#") > 0 and "json" in plan))
+        return real(df, label, *partitions)
+
+    monkeypatch.setattr(ingest, "stage", seen)
+    run_ingest(spark, IngestParams("c1", database), landed, run_time)
+    assert [label for label, reads in scans if reads] == ["listed"]
+
+
+def stored_daily(spark, database):
+    daily = spark.table(f"{database}.bronze_aws_daily_metrics").drop("ingestion_timestamp", "job_runtime_utc")
+    return sorted((tuple(r) for r in daily.collect()), key=repr)
+
+
+def test_a_ledger_reads_each_file_once(spark, database, landed, run_time, tmp_path):
+    """The second job parses nothing old; results that land later meet instances of an earlier job."""
+    from cumulo.sources.landed import read_inventory_pages
+
+    params = IngestParams("c1", database)
+    once = Landed(landed.inventory, landed.metrics, once=True)
+    first = run_totals(run_ingest(spark, params, once, run_time)).collect()
+    before = stored_daily(spark, database)
+    scope = f"account_id={ACCOUNTS[0]}/region=eu-west-1"
+    key = f"{ACCOUNTS[0]}/eu-west-1/i-1"
+    later = [{"Id": f"{key}//NetworkIn/Sum/86400", "Timestamps": ["2024-01-29T00:00:00Z"], "Values": [7.0]}]
+    land(tmp_path / "metrics" / scope, "late.json", later)
+    second = run_totals(run_ingest(spark, params, once, run_time + dt.timedelta(hours=1))).collect()
+    fetched = lambda log: {r.table_name: r.rows_fetched for r in log}
+    assert fetched(first)["bronze_aws_metrics_v1"] == 14 and fetched(second)["bronze_aws_metrics_v1"] == 1
+    assert fetched(second)["bronze_aws_ec2_instances_v1"] == 0
+    after = stored_daily(spark, database)
+    assert len(after) == len(before) + 1 and set(before) < set(after)
+    # Another scope's files stay unread, a file that changed is read again.
+    from cumulo.sources.ledger import Ledger
+
+    land(tmp_path / "metrics" / scope, "late.json", later * 2)
+    assert [p.rsplit("/", 1)[1] for p in Ledger(spark, database).take(landed.metrics, (ACCOUNTS[0],), None)] == ["late.json"]
+    assert Ledger(spark, database).take(landed.metrics, (ACCOUNTS[1],), None) == []
+    assert read_inventory_pages(spark, landed.inventory, files=[]).count() == 0
+
+
+def test_changed_days_give_the_full_rollup(spark, tmp_path, run_time):
+    """Random batches, among them late and repeated points: the same daily rows, from fewer stored rows."""
+    import random
+
+    from cumulo.operators.upsert import create_database
+    from cumulo.plans import ingest
+
+    draw = random.Random(3)
+    account = ACCOUNTS[0]
+    scope = f"account_id={account}/region=eu-west-1"
+    pages = [{"Reservations": [{"Instances": [{"InstanceId": f"i-{i}"} for i in range(4)]}]}]
+    stored = {}
+    for kind, changes in (("full", False), ("changes", True)):
+        create_database(spark, f"db_{kind}", str(tmp_path / f"warehouse-{kind}"))
+    batches = []
+    for batch in range(3):
+        docs = []
+        for _ in range(12):
+            i, day = draw.randrange(4), draw.choice(["2024-01-28", "2024-01-29", "2024-01-30"][: 1 + batch])
+            hours = [f"{day}T{draw.randrange(24):02d}:{draw.choice((0, 5, 10)):02d}:00Z" for _ in range(3)]
+            docs.append({"Id": f"{account}/eu-west-1/i-{i}//CPUUtilization/Average/300", "Timestamps": hours, "Values": [draw.randrange(9) for _ in hours]})
+            docs.append({"Id": f"{account}/eu-west-1/i-{i}//NetworkIn/Sum/86400", "Timestamps": [f"{day}T00:00:00Z"], "Values": [draw.randrange(99)]})
+        run = f"b{batch}"
+        land(tmp_path / "pages" / f"run={run}" / scope, "p.json", pages)
+        land(tmp_path / "results" / f"run={run}" / scope, "m.json", docs)
+        batches.append(run)
+    for n, run in enumerate(batches):
+        for kind, changes in (("full", False), ("changes", True)):
+            params = IngestParams("c1", f"db_{kind}", additional_client_id="c2", changes_only=changes)
+            folders = Landed(str(tmp_path / "pages"), str(tmp_path / "results"), run=run)
+            run_ingest(spark, params, folders, run_time + dt.timedelta(hours=n))
+            stored[kind] = stored_daily(spark, f"db_{kind}")
+        assert stored["full"] == stored["changes"] and stored["full"]
+    assert spark.table("db_changes.changed_days").count() == 0
+    # A job that stops before its roll-up leaves its days to the next one.
+    params = IngestParams("c1", "db_changes", changes_only=True)
+    raw = spark.table("db_changes.bronze_aws_metrics_v1").where("client_id = 'c1'")
+    ingest._note_changes(raw.where("metric_date = '2024-01-28'"), params, run_time)
+    days = ingest._pending(spark, params, None)
+    from cumulo.operators.rollup import only_days
+
+    some = only_days(raw, days)
+    assert {r.metric_date for r in some.collect()} == {"2024-01-28"} and some.count() < raw.count()
+    for kind in stored:
+        spark.sql(f"DROP DATABASE db_{kind} CASCADE")
