@@ -41,13 +41,13 @@ END = 0xFF
 # Contexts of so many bytes are never parted between buckets; those shorter are the top.
 TOP = 2
 # Bytes of texts in a chunk, and of those coded at a time; texts that share a slice have one byte for a number.
-CHUNK = 16_000_000
-SLICE = 4_000_000
+CHUNK = 32_000_000
+SLICE = 1_000_000
 SHARED = 255
 # Bytes of the corpus per bucket, and codes that a bucket adds up at a time.
 BUCKET = 32_000_000
 MIN_BUCKETS = 8
-FOLD = 4_000_000
+FOLD = 3_000_000
 _TEXTS, _CODES, _WORDS = 0, 1, 2
 LN2 = math.log(2)
 
@@ -114,13 +114,16 @@ def add_up(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 
 def tally(texts: list[bytes], train: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct codes of the texts and how often each occurs in training texts (0: in others only)."""
-    parts = []
+    parts, size = [], 0
     for first, found, sizes in slices(texts, depth):
         marks = np.repeat(train[first : first + len(sizes)].astype(np.uint64), sizes)
         ranked = np.sort(found << np.uint64(1) | marks)
         head = _heads(ranked >> np.uint64(1))
         counts = np.add.reduceat((ranked & np.uint64(1)).astype(np.int64), head)
         parts.append((ranked[head] >> np.uint64(1), counts))
+        size += len(head)
+        if size > FOLD:
+            parts, size = [add_up(parts)], 0
     return add_up(parts) if len(parts) > 1 else parts[0]
 
 
@@ -487,7 +490,7 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         for chunk, n, a in zip(*(table.column(c) for c in ("chunk", "size", "a"))):
             n, a = n.as_py(), a.as_py()
             own = logs[np.searchsorted(values, unpacked_codes(a, n))]
-            out.append((_CODES, chunk.as_py(), 0, n, a, own.tobytes()))
+            out.append((_CODES, chunk.as_py(), 0, n, a, packed(own)))
         return pa.Table.from_batches([_pieces(out)])
 
     words = stage(kind(_WORDS).groupBy("bucket").applyInArrow(word_answers, _PIECE_TYPES), "chunk-words")
@@ -509,7 +512,7 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
             n, a, b = n.as_py(), a.as_py(), b.as_py()
             if k.as_py() == _CODES:
                 values.append(unpacked_codes(a, n))
-                logs.append(np.frombuffer(b, "<f4"))
+                logs.append(unpacked(b, "<f4", n))
             else:
                 known.update(zip(_body(a).split(b"\n"), unpacked(b, "<i8", n).tolist()))
         if values:
@@ -517,7 +520,6 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
             order = np.argsort(values, kind="stable")
             values, logs = values[order], logs[order].astype(np.float64)
         log_of = {w: math.log10(n + 1) for w, n in known.items()}
-        seen = {w: n > 0 for w, n in known.items()}
         rate = math.log10(tokens + distinct + 1)
         for n, a, b in zip(*(own.column(c).to_pylist() for c in ("size", "a", "b"))):
             ids, valid, outs = unpacked(b, "<i8", 3 * n).reshape(3, n).tolist()
@@ -528,7 +530,7 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                 base = math.fsum(map(log_of.__getitem__, said)) - len(said) * rate
                 rows.append(
                     (
-                        ids[i] if valid[i] else None, bool(outs[i]), len(said), sum(map(seen.__getitem__, said)), tokens,
+                        ids[i] if valid[i] else None, bool(outs[i]), len(said), sum(n > 0 for n in map(known.__getitem__, said)), tokens,
                         base, total, -total * math.log2(10) / (len(text) + 1),
                     )
                 )
