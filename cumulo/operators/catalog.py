@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cumulo.functions.text import texts
@@ -34,6 +34,33 @@ def unique_key_violations(catalog: DataFrame, keys: Sequence[str] = CATALOG_KEY)
     return complete.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).where("row_count > 1")
 
 
+def admit(
+    new: DataFrame, existing: DataFrame, order: Sequence[str], keys: Mapping[str, Column] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Split a batch before it is inserted: rows that keep the keys unique, and the rejected ones with a
+    ``reason``: ``exists`` (a stored row has the key) or ``repeated`` (an earlier row of the batch has it).
+
+    ``order`` says which of several rows comes first. A key with a NULL part violates nothing. Both results
+    read the batch; it should be staged.
+    """
+    keys = keys or {k: F.col(k) for k in CATALOG_KEY}
+    names = [f"_key_{k}" for k in keys]
+    complete = F.lit(True)
+    for name in names:
+        complete = complete & F.col(name).isNotNull()
+    keyed = new.withColumns(dict(zip(names, keys.values())))
+    stored = existing.select(*[k.alias(n) for k, n in zip(keys.values(), names)]).distinct()
+    first = F.row_number().over(Window.partitionBy(*names).orderBy(*order))
+    # Rows without a complete key are no group: their share of the window is spread by row.
+    whole = keyed.where(complete).withColumn("_place", first)
+    judged = whole.join(stored.withColumn("_stored", F.lit(True)), names, "left")
+    reason = F.when(F.col("_stored"), "exists").when(F.col("_place") > 1, "repeated")
+    judged = judged.withColumn("reason", reason).select(*new.columns, "reason")
+    free = keyed.where(~complete).select(*new.columns, F.lit(None).cast("string").alias("reason"))
+    both = judged.unionByName(free)
+    return both.where("reason IS NULL").drop("reason"), both.where("reason IS NOT NULL")
+
+
 def active_codes(catalog: DataFrame, provider: str = PROVIDER) -> DataFrame:
     """Distinct codes of the provider's active services, in order."""
     return (

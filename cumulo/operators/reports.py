@@ -109,3 +109,10 @@ def merge_report(batch: DataFrame, table_names: Sequence[str], clients: int) ->
     tables = F.explode(F.array(*[F.lit(t) for t in table_names]))
     counted = batch.agg((F.count(F.lit(1)) * clients).alias("rows_merged"))
     return counted.select(tables.alias("table_name"), "rows_merged")
+
+
+def report_lines(df: DataFrame, section: str, name: Column, value: Column, detail: Column | None = None) -> DataFrame:
+    """Summary rows in the shape of the run report."""
+    detail = F.lit("") if detail is None else detail
+    columns = {"section": F.lit(section), "name": name, "detail": detail, "value": value.cast("long")}
+    return df.select(*[c.alias(n) for n, c in columns.items()])

@@ -9,19 +9,30 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cumulo.operators import points as P
-from cumulo.operators.reports import hard_failures, without_failed_scopes
+from cumulo.operators.reports import (
+    count_by_metric,
+    denial_samples,
+    denial_summary,
+    fails_softly,
+    hard_failures,
+    merge_report,
+    report_lines,
+    run_totals,
+    without_failed_scopes,
+)
 from cumulo.operators.rollup import DAY, changed_days, daily_projection, daily_values, only_days, unique_daily
 from cumulo.operators.shape import client_list, for_clients, keep_last, stamp
 from cumulo.operators.upsert import append, as_stored, ensure_table, merge_batch, remove_keys
 from cumulo.plans.params import IngestParams
 from cumulo.plans.services import Service, active_services, service_named
-from cumulo.schemas import CHANGED_DAYS, DAILY_TABLES, Table
+from cumulo.schemas import CHANGED_DAYS, DAILY_TABLES, RUN_REPORT, Table
 from cumulo.session import configure, stage
 from cumulo.sources.landed import ARRIVAL, read_error_log, read_inventory_pages, read_metric_results
 from cumulo.sources.ledger import Ledger
@@ -54,22 +65,56 @@ def run_ingest(
     run_time: dt.datetime,
     catalog: DataFrame | None = None,
 ) -> DataFrame:
-    """Run every requested or active service that is registered; returns the run log by table."""
+    """Run every requested or active service that is registered; returns the run log by table.
+
+    What else a run has to tell is stored by service in the table ``run_report``; see :func:`run_report`.
+    """
     configure(spark)
     log: list[tuple] = []
     for name in active_services(params.services, catalog):
         service = service_named(name)
         if service is not None:
-            log += _ingest_service(spark, service, params, landed, run_time)
+            notes: list[DataFrame] = []
+            own = _ingest_service(spark, service, params, landed, run_time, notes)
+            totals = run_totals(spark.createDataFrame(own, _RUN_LOG))
+            for measure in ("rows_fetched", "rows_merged", "failures"):
+                notes.append(report_lines(totals, measure, F.col("table_name"), F.col(measure)))
+            _store_report(spark, notes, service, params, run_time)
+            log += own
     return spark.createDataFrame(log, _RUN_LOG)
 
 
+def run_name(run_time: dt.datetime) -> str:
+    return run_time.astimezone(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
+
+
+def run_report(spark: SparkSession, database: str, run_time: dt.datetime) -> DataFrame:
+    """What the run of that time has told, by service and section: ``rows_fetched``, ``rows_merged`` and
+    ``failures`` by table, ``metric_rows`` by metric, ``duplicates`` removed, ``denials`` by code (detail: how
+    they are taken), ``denial_samples`` by scope (detail: the reason)."""
+    return spark.table(f"{database}.{RUN_REPORT.name}").where(F.col("run") == run_name(run_time)).select(
+        "service_name", "section", "name", "detail", "value"
+    )
+
+
+def _store_report(
+    spark: SparkSession, notes: Sequence[DataFrame], service: Service, params: IngestParams, run_time: dt.datetime
+) -> None:
+    name = ensure_table(spark, params.database, RUN_REPORT, provider=params.provider, warehouse=params.warehouse or None)
+    lines = reduce(DataFrame.unionByName, notes)
+    lines = lines.withColumns({"service_name": F.lit(service.name), "run": F.lit(run_name(run_time))})
+    # A run that is repeated replaces its report.
+    batch = stage(as_stored(lines.coalesce(1), RUN_REPORT), "report")
+    merge_batch(batch, name, RUN_REPORT)
+
+
 def _ingest_service(
     spark: SparkSession,
     service: Service,
     params: IngestParams,
     landed: Landed,
     run_time: dt.datetime,
+    notes: list[DataFrame],
 ) -> list[tuple]:
     accounts, regions = params.accounts or None, params.regions or None
     scope = (accounts, regions, landed.run)
@@ -81,6 +126,12 @@ def _ingest_service(
         errors = read_error_log(spark, landed.errors, *scope).where(F.col("service_name") == service.name)
         pages = without_failed_scopes(pages, errors)
         failures = hard_failures(errors).count()
+        taken_as = F.when(fails_softly(F.col("code")), "warning").otherwise("no inventory")
+        notes.append(report_lines(denial_summary(errors), "denials", F.col("code"), F.col("denials"), taken_as))
+        samples = denial_samples(errors, ("account_id", "region", "code", "message"))
+        scope_name = F.concat_ws("@", "account_id", "region", "code")
+        samples = samples.groupBy(scope_name.alias("name"), "reason").agg(F.count(F.lit(1)).alias("n"))
+        notes.append(report_lines(samples, "denial_samples", F.col("name"), F.col("n"), F.col("reason")))
     # Parsed once: what is staged also tells of the pages that did not parse.
     listed = stage(service.listed(pages), "listed")
     failures += listed.where("malformed").count()
@@ -114,10 +165,14 @@ def _ingest_service(
     unique = keep_last(
         merged, (*P.INSTANCE_KEYS, "metric_name", "stat", "bucket"), (*ARRIVAL, "position")
     )
+    unique, kept = _counted(unique)
     raw = P.enrich(
         unique, resources, service.specs, service_name=service.name, namespace=service.namespace
     )
     raw = stage(as_stored(stamp(raw, params.client_id, run_time), service.metrics), "raw")
+    removed = spark.range(1).select(F.lit(fetched() - kept()).alias("n"))
+    notes.append(report_lines(removed, "duplicates", F.lit(service.metrics.name), F.col("n")))
+    notes.append(report_lines(count_by_metric(raw), "metric_rows", F.col("metric_name"), F.col("row_count")))
     if params.changes_only:
         _note_changes(raw, params, run_time)
     log.append(_merge(raw, service.metrics, params, fetched, seen.get["malformed"]))
@@ -138,6 +193,9 @@ def _ingest_service(
     values = unique_daily(daily_values(stored, service.specs, service.percentile))
     daily = stage(daily_projection(values, service.namespace, run_time), "daily")
     log += [_merge(daily, table, params) for table in DAILY_TABLES]
+    clients = len(client_list(params.client_id, params.additional_client_id))
+    told = merge_report(daily, [t.name for t in DAILY_TABLES], clients)
+    notes.append(report_lines(told, "daily_rows", F.col("table_name"), F.col("rows_merged")))
     if params.changes_only:
         _forget_changes(days, params)
     if ledger:
@@ -165,8 +223,7 @@ def _with_stored(
 
 def _note_changes(raw: DataFrame, params: IngestParams, run_time: dt.datetime) -> None:
     name = ensure_table(raw.sparkSession, params.database, CHANGED_DAYS, provider=params.provider, warehouse=params.warehouse or None)
-    batch = run_time.astimezone(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
-    append(changed_days(raw).withColumn("batch", F.lit(batch)), name, CHANGED_DAYS)
+    append(changed_days(raw).withColumn("batch", F.lit(run_name(run_time))), name, CHANGED_DAYS)
 
 
 def _pending(spark: SparkSession, params: IngestParams, accounts: Sequence[str] | None) -> DataFrame:

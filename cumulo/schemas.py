@@ -158,6 +158,15 @@ LEDGER = Table(
     ),
     path_suffix="jobs/landed_files",
 )
+RUN_REPORT = Table(
+    "run_report",
+    keys=("run", "service_name", "section", "name", "detail"),
+    partitions=("run",),
+    schema=declared_schema(
+        {"service_name": "string", "section": "string", "name": "string", "detail": "string", "value": "long", "run": "string"}
+    ),
+    path_suffix="jobs/run_report",
+)
 CHANGED_DAYS = Table(
     "changed_days",
     keys=("client_id", "account_id", "resource_id", "metric_date", "batch"),

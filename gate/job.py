@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from cumulo.operators import points as P
-from cumulo.plans.ingest import Landed, run_ingest
+from cumulo.plans.ingest import Landed, run_ingest, run_report as report_of
 from cumulo.plans.params import IngestParams
 from cumulo.schemas import DAILY_METRICS_COPY
 from cumulo.session import scratch_dir
@@ -74,10 +74,8 @@ def _landed(spark, sf_dir):
     return landed
 
 
-@query(
-    "ingest_job",
-    f"""
-WITH {G.SQL_SPECS}, {G.SQL_PERIOD},
+_SQL_JOB = f"""
+{G.SQL_SPECS}, {G.SQL_PERIOD},
 hourly AS (
   SELECT resource_id, metric_name, date_trunc('day', bucket) AS day, hour(bucket) AS hr,
          quantile_disc(metric_value, 0.9) AS value
@@ -91,6 +89,13 @@ daily AS (
   WHERE metric_name IN ('purchase', 'signup') GROUP BY resource_id, bucket
   UNION ALL
   SELECT resource_id, 'NetworkIn', bucket, 'Sum', metric_value FROM period WHERE metric_name = 'error')
+"""
+
+
+@query(
+    "ingest_job",
+    f"""
+WITH {_SQL_JOB}
 SELECT client_id, lpad(CAST(n_regionkey AS VARCHAR), 12, '0') AS account_id,
        'arn:aws:ec2:region-' || n_regionkey || ':' || lpad(CAST(n_regionkey AS VARCHAR), 12, '0')
          || ':instance/i-' || c_custkey AS resource_id,
@@ -123,3 +128,35 @@ def ingest_job(spark, sf_dir):
         "aggregation_type",
         comparable(F.col("metric_value")).alias("metric_value"),
     )
+
+
+@query(
+    "run_report",
+    f"""
+WITH {_SQL_JOB},
+raw AS (
+  SELECT CASE metric_name WHEN 'view' THEN 'CPUUtilization' WHEN 'click' THEN 'MemoryUtilization'
+              WHEN 'error' THEN 'NetworkIn' ELSE 'VolumeReadOps' END AS metric_name, resource_id, bucket
+  FROM period JOIN customer ON resource_id = 'res/' || c_custkey GROUP BY ALL),
+stored AS (
+  SELECT 'bronze_aws_ec2_instances_v1' AS name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey
+  UNION ALL SELECT 'bronze_aws_metrics_v1', count(*) FROM raw
+  UNION ALL
+  SELECT name, count(*) FROM daily JOIN customer ON resource_id = 'res/' || c_custkey,
+         (VALUES ('test_bronze_aws_metrics'), ('bronze_aws_daily_metrics')) AS t(name) GROUP BY name)
+SELECT 'metric_rows' AS section, metric_name AS name, count(*)::BIGINT AS value FROM raw GROUP BY metric_name
+UNION ALL SELECT 'rows_merged', name, (2 * n)::BIGINT FROM stored
+UNION ALL SELECT 'failures', name, 0 FROM stored
+UNION ALL SELECT 'duplicates', 'bronze_aws_metrics_v1', 0
+""",
+)
+def run_report(spark, sf_dir):
+    """What a run of the job for two tenants has told about itself."""
+    database = fresh_database(spark, "report")
+    params = IngestParams(
+        G.CLIENT, database, additional_client_id=G.OTHER_CLIENT, window_days=G.WHOLE_MONTH
+    )
+    run_ingest(spark, params, _landed(spark, sf_dir), MIDNIGHT)
+    told = report_of(spark, database, MIDNIGHT)
+    sections = ("metric_rows", "rows_merged", "failures", "duplicates")
+    return told.where(F.col("section").isin(*sections)).select("section", "name", "value")

@@ -9,6 +9,7 @@ from cumulo.operators import points as P
 from cumulo.operators import reports
 from cumulo.operators import rollup as R
 from cumulo.operators import shape as S
+from cumulo.operators.inventory import flatten_instances
 from cumulo.schemas import DAILY_TABLES, METRIC_SCHEMA, MetricSpec, daily_native, sub_daily
 from cumulo.sources import tables as T
 from gate import roles as G
@@ -481,6 +482,62 @@ def join_resource_points(spark, sf_dir):
     )
 
 
+_JOINED_SPECS = (
+    MetricSpec("CPUUtilization", "AWS/EC2", "Percent", "Average", 86400, "P1D"),
+    MetricSpec("VolumeReadOps", "AWS/EBS", "Count", "Sum", 86400, "P1D", "volume"),
+)
+
+
+@query(
+    "resource_points",
+    f"""
+WITH {G.SQL_INSTANCES}, points AS (
+  SELECT o_orderkey, 'VolumeReadOps' AS metric_name, 'AWS/EBS' AS namespace, 'Sum' AS stat, 'Count' AS unit,
+         l_shipdate AS day, sum(l_quantity) AS value
+  FROM inst JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderstatus = 'O' GROUP BY ALL
+  UNION ALL
+  SELECT o_orderkey, 'CPUUtilization', 'AWS/EC2', 'Average', 'Percent', l_shipdate, l_extendedprice
+  FROM inst JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P' AND l_linenumber = 1)
+SELECT 'arn:aws:ec2:' || region || ':' || account_id || ':instance/' || instance_id AS resource_id,
+       CASE WHEN o_orderpriority = '5-LOW' THEN c_name ELSE instance_id END AS resource_name, account_id, region,
+       metric_name, namespace, stat AS aggregation_type, unit, strftime(day, '%Y-%m-%dT00:00:00Z') AS date,
+       strftime(day, '%Y-%m-%d') AS metric_date, {sql_comparable('value')} AS metric_value
+FROM points JOIN inst USING (o_orderkey)
+""",
+)
+def resource_points(spark, sf_dir):
+    """The job's own way from instances and result blocks to points of resources: attached volumes, the
+    series to ask for, blocks by series, volume sums, and what is known of the resource."""
+    found = G.instances(spark, sf_dir)
+    resources = flatten_instances(found.select("account_id", "region", "instance", "raw_data"))
+    series = P.expected_series(resources, P.attached_volumes(resources), _JOINED_SPECS[:1], _JOINED_SPECS[1:])
+    lines = table(spark, sf_dir, "lineitem").join(
+        found.select("account_id", "region", "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey")
+    )
+    key = F.concat_ws("/", "account_id", "region", F.concat(F.lit("i-"), "l_orderkey"))
+    # Every line is a point of one of two volumes, and each order's first line one of its instance, too.
+    volume = F.concat(F.lit("vol-"), "l_orderkey", F.when(F.col("l_linenumber") % 2 == 0, "-a").otherwise("-b"))
+    ids = F.array(
+        F.struct(F.concat_ws("/", key, volume, F.lit("VolumeReadOps/Sum/86400")).alias("Id"), F.col("l_quantity").alias("value")),
+        F.struct(
+            F.when(F.col("l_linenumber") == 1, F.concat(key, F.lit("//CPUUtilization/Average/86400"))).alias("Id"),
+            F.col("l_extendedprice").alias("value"),
+        ),
+    )
+    points = lines.select(G.instant("l_shipdate").alias("ts"), F.explode(ids).alias("p")).where("p.Id IS NOT NULL")
+    # An order has at most seven lines, hence a block at most seven points.
+    blocks = points.groupBy("p.Id").agg(F.sort_array(F.collect_list(F.struct("ts", "p.value"))).alias("points"))
+    blocks = blocks.select(
+        "Id", F.transform("points", lambda p: p["ts"]).alias("Timestamps"), F.transform("points", lambda p: p["value"]).alias("Values")
+    )
+    aligned = P.align_points(P.zip_points(P.join_series(P.valid_blocks(blocks), series)))
+    rows = P.enrich(P.instance_points(aligned), resources, _JOINED_SPECS, service_name=G.SERVICE, namespace=G.NAMESPACE)
+    return rows.select(
+        "resource_id", "resource_name", "account_id", "region", "metric_name", "namespace", "aggregation_type", "unit", "date",
+        "metric_date", comparable(F.col("metric_value")).alias("metric_value"),
+    )
+
+
 @query(
     "expected_series",
     f"""

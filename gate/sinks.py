@@ -10,7 +10,7 @@ from cumulo.operators import export as X
 from cumulo.operators import rollup as R
 from cumulo.operators import shape as S
 from cumulo.operators import upsert as U
-from cumulo.operators.catalog import normalized
+from cumulo.operators.catalog import admit, normalized
 from cumulo.schemas import DAILY_METRICS, DAILY_TABLES, INVENTORY, RAW_METRICS, declared_schema
 from cumulo.session import scratch_dir, stage
 from cumulo.sources import tables as T
@@ -219,6 +219,63 @@ def dual_table_write(spark, sf_dir):
     )
 
 
+@query(
+    "incremental_rollup",
+    f"""
+WITH {SQL_DAILY}
+SELECT resource_id, metric_name, metric_date, aggregation_type, {sql_comparable('metric_value')} AS metric_value
+FROM daily
+""",
+)
+def incremental_rollup(spark, sf_dir):
+    """Raw points come in two overlapping batches; after each only the days it touches are rolled up."""
+    database = fresh_database(spark, "incremental")
+    raw_name, daily_name = (U.ensure_table(spark, database, t) for t in (RAW_METRICS, DAILY_METRICS))
+    points = G.period_points(spark, sf_dir).where(T.looks_back(G.SERVICE, G.AS_OF, G.WHOLE_MONTH))
+    points = stage(U.as_stored(points, RAW_METRICS), "points")
+    for part in (F.col("metric_date") < "2024-01-16", F.col("metric_date") >= "2024-01-12"):
+        batch = stage(points.where(part), "batch")
+        U.merge_batch(batch, raw_name, RAW_METRICS)
+        days = stage(R.changed_days(batch), "days")
+        values = R.unique_daily(R.daily_values(R.only_days(spark.table(raw_name), days), G.EVENT_SPECS))
+        daily = stage(U.as_stored(R.daily_projection(values, G.NAMESPACE, G.RUN_TIME), DAILY_METRICS), "daily")
+        U.merge_batch(daily, daily_name, DAILY_METRICS)
+    return spark.table(daily_name).select(
+        "resource_id", "metric_name", "metric_date", "aggregation_type", comparable(F.col("metric_value")).alias("metric_value")
+    )
+
+
+@query(
+    "rejected_rows",
+    f"""
+WITH {SQL_CATALOG}, stored AS (
+  SELECT service_code, lower(trim(cloud_provider)) AS provider, min(id) AS id FROM catalog WHERE id % 2 = 0 GROUP BY ALL),
+new AS (
+  SELECT *, lower(trim(cloud_provider)) AS provider,
+         row_number() OVER (PARTITION BY service_code, lower(trim(cloud_provider)) ORDER BY id) AS place
+  FROM catalog WHERE id % 2 = 1),
+judged AS (
+  SELECT new.id, new.service_code, new.cloud_provider,
+         CASE WHEN stored.id IS NOT NULL THEN 'exists' WHEN place > 1 THEN 'repeated' ELSE 'stored' END AS state
+  FROM new LEFT JOIN stored USING (service_code, provider))
+SELECT id, service_code, cloud_provider, state FROM judged
+UNION ALL SELECT catalog.id, catalog.service_code, catalog.cloud_provider, 'stored' FROM catalog JOIN stored USING (id)
+""",
+)
+def rejected_rows(spark, sf_dir):
+    """Parts of even number are stored first, those of odd number come second: what keeps the catalog's
+    key unique is inserted, the rest goes to a table of its own."""
+    columns = ("id", "service_code", "cloud_provider")
+    parts = catalog(spark, sf_dir).select(*columns)
+    keys = {"service_code": F.col("service_code"), "cloud_provider": normalized(F.col("cloud_provider"))}
+    stored = admit(stage(parts.where("id % 2 = 0"), "first"), parts.limit(0), ["id"], keys)[0]
+    stored = stage(stored, "stored")
+    accepted, rejected = admit(stage(parts.where("id % 2 = 1"), "second"), stored, ["id"], keys)
+    catalog_rows = stage(stored.unionByName(accepted), "catalog")
+    rejects = stage(rejected, "rejects")
+    return catalog_rows.withColumn("state", F.lit("stored")).unionByName(rejects.withColumnRenamed("reason", "state"))
+
+
 @query(
     "replace_by_key",
     f"""
@@ -304,3 +361,46 @@ def export_csv(spark, sf_dir):
     path = scratch_dir(spark, "export-csv")
     X.export_csv(_exportable(spark, sf_dir), path)
     return X.read_csv_export(spark, path, _EXPORT)
+
+
+_DOCUMENT = declared_schema({"key": "bigint", "name": "string", "balance": "double", "note": "string"})
+
+
+@query(
+    "export_document",
+    """
+SELECT 'EC2' AS service, lpad(CAST(c_nationkey AS VARCHAR), 12, '0') || '@region-' || n_regionkey AS region,
+       'customers' AS table_name, c_custkey AS key, c_name || ' "quoted", and more' AS name, c_acctbal AS balance,
+       CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS note
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+UNION ALL
+SELECT 'EC2', lpad(CAST(s_nationkey AS VARCHAR), 12, '0') || '@region-' || n_regionkey, 'suppliers', s_suppkey,
+       s_name, s_acctbal, NULL
+FROM supplier JOIN nation ON s_nationkey = n_nationkey
+""",
+)
+def export_document(spark, sf_dir):
+    """Two tables of several accounts as one nested document."""
+    nations = table(spark, sf_dir, "nation")
+
+    def rows(name, key, nation, label, balance, note):
+        own = table(spark, sf_dir, name).join(nations, F.col(nation) == F.col("n_nationkey")).select(
+            F.lpad(F.col(nation).cast("string"), 12, "0").alias("account_id"),
+            F.concat(F.lit("region-"), "n_regionkey").alias("region"),
+            F.col(key).alias("key"),
+            label.alias("name"),
+            F.col(balance).alias("balance"),
+            note.alias("note"),
+        )
+        return X.with_export_keys(own, "EC2", several_accounts=True).drop("account_id")
+
+    segment = F.col("c_mktsegment")
+    named = F.concat("c_name", F.lit(' "quoted", and more'))
+    nothing = F.lit(None).cast("string")
+    tables = {
+        "customers": rows("customer", "c_custkey", "c_nationkey", named, "c_acctbal", F.when(segment != "BUILDING", segment)),
+        "suppliers": rows("supplier", "s_suppkey", "s_nationkey", F.col("s_name"), "s_acctbal", nothing),
+    }
+    path = scratch_dir(spark, "export-document")
+    X.export_documents(tables, path)
+    return X.read_documents(spark, path, _DOCUMENT)

@@ -177,3 +177,58 @@ def test_spec_frame(spark):
     assert frame.count() == 10
     assert [s.metric_name for s in sub_daily(specs)] == ["CPUUtilization", "MemoryUtilization"]
     assert len(daily_native(specs)) == 8
+
+
+def test_two_tables_share_a_tree(spark, tmp_path, rows):
+    """Each table replaces its own directories only."""
+    from cumulo.operators import export as X
+
+    df = spark.createDataFrame([("1", "r", 1), ("2", "r", 2)], "account_id string, region string, n int")
+    named = lambda table, d: X.with_export_keys(d, "EC2", True, table).drop("account_id")
+    for form in ("json", "csv"):
+        path = str(tmp_path / form)
+        write, read = getattr(X, f"export_{form}"), getattr(X, f"read_{form}_export")
+        write(named("a b", df), path)
+        write(named("c", df.withColumn("n", F.col("n") * 10)), path)
+        write(named("a b", df.where("n = 2").withColumn("n", F.lit(7))), path)
+        schema = declared_schema({"service": "string", "region": "string", "table_name": "string", "n": "int"})
+        region = (lambda a: f"{a}@r") if form == "json" else (lambda a: f"{a}_r")
+        got = {(r.region, r.table_name, r.n) for r in read(spark, path, schema).collect()}
+        assert got == {(region("1"), "a_b", 1), (region("2"), "a_b", 7), (region("1"), "c", 10), (region("2"), "c", 20)}
+
+
+def test_documents_nest_and_are_bounded(spark, tmp_path):
+    import json
+
+    from cumulo.operators import export as X
+
+    one = spark.createDataFrame([("EC2", 'a"b@r', 1, None), ("EC2", "r2", 2, "é\n"), ("S3", "r", 3, "x")], "service string, region string, n int, t string")
+    two = spark.createDataFrame([("EC2", "r2", 9.5)], "service string, region string, v double")
+    got = {r.service: json.loads(r.document) for r in X.nested_documents({"one": one, "two": two}).collect()}
+    assert got == {
+        "EC2": {'a"b@r': {"one": [{"n": 1, "t": None}]}, "r2": {"one": [{"n": 2, "t": "é\n"}], "two": [{"v": 9.5}]}},
+        "S3": {"r": {"one": [{"n": 3, "t": "x"}]}},
+    }
+    with pytest.raises(ValueError, match="EC2"):
+        X.nested_documents({"one": one}, most_bytes=20)
+
+
+def test_admit_keeps_the_target_unique(spark):
+    """Random batches: the target stays unique, and nothing is lost."""
+    import random
+
+    from cumulo.operators import catalog as C
+
+    draw = random.Random(5)
+    schema = "id int, service_code string, cloud_provider string"
+    target, lost, sent = spark.createDataFrame([], schema), 0, 0
+    for _ in range(3):
+        rows = [(draw.randrange(1000), draw.choice(["a", "b", "c", None]), draw.choice(["aws", "AWS ", "x"])) for _ in range(20)]
+        keys = {"code": F.col("service_code"), "provider": C.normalized(F.col("cloud_provider"))}
+        accepted, rejected = C.admit(spark.createDataFrame(rows, schema), target, ["id", "cloud_provider"], keys)
+        assert {r.reason for r in rejected.collect()} <= {"exists", "repeated"}
+        target = spark.createDataFrame(target.union(accepted).collect(), schema)
+        lost, sent = lost + rejected.count(), sent + len(rows)
+        normal = target.withColumn("cloud_provider", C.normalized(F.col("cloud_provider")))
+        assert C.unique_key_violations(normal).count() == 0
+        assert target.count() + lost == sent
