@@ -39,9 +39,9 @@ SHARE = 1_000_000
 # and the depth to which containers burst.
 BURST, OWN, DEEPEST = 1 << 16, 16, 2
 # Distinct windows that a task holds, words that it counts or numbers, and bytes that it reads at a time.
-HELD = 1_500_000
+HELD = 1_000_000
 HELD_WORDS = 300_000
-NUMBERED = 1 << 20
+NUMBERED = 1 << 19
 CHUNK = 1 << 20
 
 # A-Z lower-cased; tab as blank; the ends of pieces as line ends.
