@@ -7,8 +7,10 @@ without trying all products. Close vectors share filters, distant ones rarely do
 filter are compared exactly, in double precision.
 
 The codebooks grow with the root of the number of vectors, so that a filter holds about ``TARGET``
-unrelated vectors at any size; the cap is set so that a direction has ``LISTED`` filters on average.
-Equal vectors are one class. A filter with more than ``TILE`` classes is split into blocks, whose pairs
+unrelated vectors at any size; the cap is set so that a direction has ``LISTED`` filters on average. The
+larger the codebooks, the more often a pair at the threshold shares none of them, so independent codes are
+added until, by the rate at which one code misses trial pairs of exactly the threshold's cosine, all of them
+miss such a pair at most once in ``1 / MISS`` times. Equal vectors are one class. A filter with more than ``TILE`` classes is split into blocks, whose pairs
 are compared in separate tasks, so no pair is left out and no task grows. A pair counts in its
 smallest common filter only; what leaves a task is a count and one link per class, never pairs.
 
@@ -19,6 +21,8 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,14 +36,46 @@ TILE = 1024
 # Rows that one task compares group by group.
 GROUP_ROWS = 20_000
 SEED = 7
+# Bound for the share of pairs at the threshold that share no filter, and the pairs it is measured on.
+MISS = 0.01
+TRIALS = 400
+# Cosines this near to the threshold are summed once more, exactly.
+NEAR = 1e-12
 
 
 class Filters:
-    """The product code for vectors of one length."""
+    """Independent product codes for vectors of one length, as many as the threshold asks for."""
+
+    def __init__(self, length: int, vectors: int, least: float = 0.9):
+        self.codes = [Code(length, vectors, 0)]
+        draw = np.random.default_rng([SEED, length, 2])
+        first = _unit_rows(draw.standard_normal((TRIALS, length)))
+        aside = draw.standard_normal((TRIALS, length))
+        aside -= (aside * first).sum(axis=1, keepdims=True) * first
+        if length > 1:
+            second = least * first + np.sqrt(1 - least * least) * _unit_rows(aside)
+            lists = zip(self.codes[0].decode(first), self.codes[0].decode(second))
+            missed = sum(len(np.intersect1d(a, b)) == 0 for a, b in lists)
+            rate = (missed + 1) / (TRIALS + 2)
+            self.codes += [Code(length, vectors, i) for i in range(1, int(np.ceil(np.log(MISS) / np.log(rate))))]
+
+    def decode(self, unit: np.ndarray) -> list[np.ndarray]:
+        """Numbers of the filters of each vector, in order, over all codes."""
+        step = self.codes[0].size ** 2
+        found = [code.decode(unit) for code in self.codes]
+        return [np.concatenate([part + i * step for i, part in enumerate(own)]) for own in zip(*found)]
+
+
+def _unit_rows(rows: np.ndarray) -> np.ndarray:
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
+class Code:
+    """One product code for vectors of one length."""
 
-    def __init__(self, length: int, vectors: int):
+    def __init__(self, length: int, vectors: int, number: int):
         self.width = max(8, length + length % 2)
-        draw = np.random.default_rng([SEED, self.width])
+        draw = np.random.default_rng([SEED, self.width, *([number] if number else [])])
         self.turn = np.linalg.qr(draw.standard_normal((self.width, self.width)))[0]
         self.size = max(16, int(np.ceil(np.sqrt(vectors * LISTED / TARGET))))
         books = draw.standard_normal((2, self.size, self.width // 2))
@@ -92,7 +128,11 @@ def _units(vectors: list) -> np.ndarray:
 def _compare(nodes, copies, units, lists, own: int, blocks: np.ndarray | None, least: float):
     """Per class with links: node, weighted number of links first met in this filter, smallest node
     of its group."""
-    close = units @ units.T >= least
+    cosine = units @ units.T
+    close = cosine >= least
+    # Blocked products of other shapes may differ in the last bits; these pairs get one sum for all.
+    for i, j in np.argwhere(np.triu(np.abs(cosine - least) < NEAR, 1)):
+        close[i, j] = close[j, i] = math.fsum((units[i] * units[j]).tolist()) >= least
     np.fill_diagonal(close, False)
     if blocks is not None:
         close &= blocks[:, None] != blocks[None, :]
@@ -126,7 +166,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9) -> DataFrame:
     valid = F.col("vec_id").isNotNull() & value.isNotNull() & finite & F.exists(value, lambda x: x != 0)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), value.alias("embedding"))
     rows = rows.withColumn("valid", F.coalesce(valid, F.lit(False)))
-    key = [F.xxhash64("embedding").alias("k1"), F.xxhash64("embedding", F.lit(1)).alias("k2")]
+    # The second hash starts from another seed, so both must collide for two vectors to be one class.
+    key = [F.xxhash64("embedding").alias("k1"), F.xxhash64(F.lit(1), "embedding").alias("k2")]
 
     classes = rows.where("valid").groupBy(*key).agg(
         F.min("vec_id").alias("node"), F.count("*").alias("copies"), F.any_value("embedding").alias("embedding")
@@ -142,7 +183,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9) -> DataFrame:
             for d in {len(v) for v in values}:
                 at = [i for i, v in enumerate(values) if len(v) == d]
                 if d not in codes:
-                    codes[d] = Filters(d, sizes[d])
+                    codes[d] = Filters(d, sizes[d], least)
                 for low in range(0, len(at), 1024):
                     part = at[low : low + 1024]
                     for i, found in zip(part, codes[d].decode(_units([values[i] for i in part]))):

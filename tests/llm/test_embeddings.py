@@ -66,3 +66,33 @@ def test_empty_and_null_ids(spark):
     rows = sorted(embeddings.near_duplicates(frame).collect(), key=lambda r: r.vec_id or 0)
     assert [tuple(r) for r in rows] == [(None, 0, None, False), (4, 1, 4, True), (4, 1, 4, True)]
     assert embeddings.near_duplicates(frame.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("vectors", [10_000, 10_000_000, 100_000_000])
+def test_pairs_at_the_threshold_share_filters_at_any_size(vectors):
+    """Codes built for so many vectors, fresh pairs at exactly 0.9: at least 0.98 of them meet."""
+    filters = embeddings.Filters(64, vectors)
+    draw = np.random.default_rng(99)
+    first = embeddings._unit_rows(draw.standard_normal((400, 64)))
+    aside = draw.standard_normal((400, 64))
+    aside -= (aside * first).sum(axis=1, keepdims=True) * first
+    second = 0.9 * first + np.sqrt(0.19) * embeddings._unit_rows(aside)
+    met = [len(np.intersect1d(a, b)) > 0 for a, b in zip(filters.decode(first), filters.decode(second))]
+    assert np.mean(met) >= 0.98
+    lists = filters.decode(first[:50])
+    assert all((np.diff(found) > 0).all() for found in lists)
+
+
+def test_hashes_of_classes_are_independent(spark):
+    from pyspark.sql import functions as F
+
+    frame = spark.createDataFrame([([1.0, 2.0],)], "embedding array<float>")
+    chained, apart = frame.select(F.xxhash64("embedding", F.lit(1)), F.xxhash64(F.lit(1), "embedding")).first()
+    assert chained != apart
+
+
+def test_cosines_at_the_threshold_do_not_depend_on_blocks():
+    units = np.array([[1.0, 0.0], [0.9, np.sqrt(1 - 0.81)]])
+    lists = [np.array([0]), np.array([0])]
+    rows = [list(embeddings._compare(np.array([1, 2]), np.array([1, 1]), units, lists, 0, None, least)) for least in (0.9, 0.9 + 1e-15)]
+    assert len(rows[0]) == 2 and rows[1] == []
