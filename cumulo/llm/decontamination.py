@@ -5,26 +5,31 @@ lower-cased with each run of blanks as one space. With budget + 1 pieces of the
 piece survives any such edits unchanged, so every leak holds an exact piece hit; the stretch around
 each hit is then checked by Myers' bit-parallel distance.
 
-The items are a stated query set held against all documents, in blocks whose text is bounded, so
-any number of items works within the same memory; each block is one pass over the documents.
-
-Null or blank texts leak nothing, null or blank items are leaked by nothing, repeated rows each count.
+The items are a stated query set held against all documents. Spark deals them into blocks of bounded
+size, and the driver holds one block at a time: each is fetched, sent, and its pass over the documents
+written before the next one, so any number of items works within the same memory. A single block, as for
+items of up to ``BLOCK_CHARS`` characters, is not written.
+
+Null or blank texts leak nothing, null or blank items are leaked by nothing, repeated document rows each
+count, repeated item rows count once. Very long texts are searched whole. An empty table, of documents or
+of items, gives no leaks. Columns named like the results are ignored.
 """
 
 from __future__ import annotations
 
 import re
 from collections import defaultdict
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cumulo.llm.common import arrow_batches
+from cumulo.llm.common import arrow_batches, stage
 
-# Characters of items that one pass may hold in a task.
+# Characters of items, and items, that one pass holds in a task on average. Items are dealt by hash, so that a
+# block exceeds this only by chance, and by the length of one item.
 BLOCK_CHARS = 4_000_000
+BLOCK_ITEMS = 50_000
 # Edits allowed per character of an item.
 RATE = 0.05
 _BLANKS = re.compile(r"[\x20\x09-\x0D]+")
@@ -92,17 +97,6 @@ def _stretches(hits: list[int], before: int, after: int, length: int) -> list[tu
     return [tuple(x) for x in out]
 
 
-def _blocks(items: list[tuple[int, str]]) -> list[list[tuple[int, str]]]:
-    out, held = [[]], 0
-    for item in items:
-        if held + len(item[1]) > BLOCK_CHARS and out[-1]:
-            out.append([])
-            held = 0
-        out[-1].append(item)
-        held += len(item[1])
-    return out
-
-
 class Finder:
     """All leaks of a block of items in one text."""
 
@@ -142,10 +136,17 @@ class Finder:
                 yield item_id, *best
 
 
-def _known(items: DataFrame) -> list[list[tuple[int, str]]]:
-    rows = items.select("item_id", "text").where("text is not null").toLocalIterator()
-    known = [(r["item_id"], normal(r["text"])) for r in rows]
-    return _blocks([x for x in known if x[1]])
+def _blocks(items: DataFrame):
+    """Blocks of distinct items (id, normalised text), one after the other, and whether it is the only one."""
+    rows = items.select("item_id", F.col("text").cast("string").alias("text")).where("text IS NOT NULL").distinct()
+    size = rows.agg(F.sum(F.length("text")).alias("chars"), F.count(F.lit(1)).alias("n")).first()
+    blocks = max(1, -(-(size["chars"] or 0) // BLOCK_CHARS), -(-size["n"] // BLOCK_ITEMS))
+    if blocks > 1:
+        rows = stage(rows.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))), "items", "block")
+    for block in range(blocks):
+        own = rows if blocks == 1 else rows.where(F.col("block") == block)
+        known = sorted((r["item_id"], normal(r["text"])) for r in own.select("item_id", "text").toLocalIterator() if r["item_id"] is not None)
+        yield [x for x in known if x[1]], blocks == 1
 
 
 def leaks(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
@@ -169,13 +170,17 @@ def leaks(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
 
         return narrow.mapInArrow(run, "doc_id long, item_id long, distance int, stop long")
 
-    return reduce(DataFrame.union, map(search, _known(items)))
+    found = None
+    for block, only in _blocks(items):
+        own = search(block) if only else stage(search(block), "leaks")
+        found = own if found is None else found.union(own)
+    return found
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE, column: str = "text") -> DataFrame:
     """The rows that leak no item, with all their columns, in one pass per block and without a shuffle."""
     out = docs
-    for block in _known(items):
+    for block, only in _blocks(items):
         shared = docs.sparkSession.sparkContext.broadcast((block, rate))
 
         def run(batches, shared=shared):
@@ -186,4 +191,6 @@ def without_leaks(docs: DataFrame, items: DataFrame, rate: float = RATE, column:
                 yield batch.filter(clean)
 
         out = out.mapInArrow(run, docs.schema)
+        if not only:
+            out = stage(out, "without-leaks")
     return out

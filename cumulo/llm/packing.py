@@ -26,8 +26,11 @@ from pyspark.sql import types as T
 from cumulo.llm.common import arrow_batches, numbered
 
 CAPACITY = 1024
-# Units whose ids a worker keeps at hand; beyond it the store starts anew.
+# Units whose ids a worker keeps at hand, characters of all of them together, and of one; beyond either total
+# the store starts anew, and a longer unit is not kept.
 KEPT_UNITS = 400_000
+KEPT_CHARS = 8_000_000
+LONGEST_KEPT = 64
 
 Pattern = dict[int, int]
 Plan = list[tuple[Pattern, int]]
@@ -189,10 +192,15 @@ _BLANKS = re.compile(r"\s\s|\0")
 _UNIT = re.compile(r"(?<=\S)(?= \S)")
 
 
+def added_tokens(tokenizer_json: str) -> dict[str, int]:
+    """Tokens that stand for themselves wherever a text has them, whatever surrounds them."""
+    return {t["content"]: t["id"] for t in json.loads(tokenizer_json).get("added_tokens", [])}
+
+
 def byte_ranks(tokenizer_json: str) -> dict[bytes, int]:
     """Byte strings of a byte-level BPE file's vocabulary, without its added tokens."""
     content = json.loads(tokenizer_json)
-    added = {t["content"] for t in content.get("added_tokens", [])}
+    added = added_tokens(tokenizer_json)
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     letters = {chr(b): b for b in printable}
     letters |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(printable))}
@@ -201,22 +209,37 @@ def byte_ranks(tokenizer_json: str) -> dict[bytes, int]:
 
 class Units(dict):
     """Ids of texts, put together from those of the units between places where a token must start: at a
-    blank, and at and after a line end. The words of a corpus repeat, so the ids of units are kept."""
+    blank, and at and after a line end. The words of a corpus repeat, so the ids of short units are kept."""
 
-    def __init__(self, words: str, ranks: dict[bytes, int]):
+    def __init__(self, words: str, ranks: dict[bytes, int], added: dict[str, int] | None = None):
         import tiktoken
 
         super().__init__()
         self.coder = tiktoken.Encoding("ranks", pat_str=words, mergeable_ranks=ranks, special_tokens={})
+        self.added = {t: struct.pack("<I", i) for t, i in (added or {}).items()}
+        # Longer tokens first, as the longest one that fits is taken.
+        names = sorted(self.added, key=len, reverse=True)
+        self.marks = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
+        self.chars = 0
 
     def __missing__(self, unit: str) -> bytes:
         found = self.coder.encode_ordinary(unit)
-        ids = self[unit] = struct.pack(f"<{len(found)}I", *found)
+        ids = struct.pack(f"<{len(found)}I", *found)
+        if len(unit) <= LONGEST_KEPT:
+            self[unit] = ids
+            self.chars += len(unit)
         return ids
 
     def encode(self, text: str) -> bytes:
-        if len(self) > KEPT_UNITS:
+        if self.marks and self.marks.search(text):
+            parts = self.marks.split(text)
+            return b"".join(self.added[p] if i % 2 else self._plain(p) for i, p in enumerate(parts) if p)
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
+        if len(self) > KEPT_UNITS or self.chars > KEPT_CHARS:
             self.clear()
+            self.chars = 0
         if _BLANKS.search(text):
             units = _UNIT.split(text)
         else:
@@ -236,18 +259,19 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: in
     import public_tokenizers
 
     with open(tokenizer_path, encoding="utf-8") as file:
-        ranks = byte_ranks(file.read())
+        content = file.read()
+    ranks, added = byte_ranks(content), added_tokens(content)
     # A worker keeps a broadcast value for all its tasks, and in it the coder and the ids met so far.
-    shared = docs.sparkSession.sparkContext.broadcast((public_tokenizers.PATTERN, ranks, []))
+    shared = docs.sparkSession.sparkContext.broadcast((public_tokenizers.PATTERN, ranks, added, []))
     schema = pa.schema(
         [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())]
     )
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
-        words, table, made = shared.value
+        words, table, marks, made = shared.value
         if not made:
-            made.append(Units(words, table))
+            made.append(Units(words, table, marks))
         units = made[0]
 
         def rows(batch):
@@ -271,13 +295,18 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: in
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Add ``sequence_id`` and ``offset`` to rows with a ``length`` from 1 to ``capacity``.
+    """Add ``sequence_id`` and ``offset`` to rows with a ``length`` from 1 to ``capacity``; columns of
+    these names are replaced.
 
     The places of one length are an array sorted by first piece number. There are as many arrays
     as lengths, and as many places as the plan has patterns: both bounded by the capacity, so
     the table of them is broadcast.
     """
     spark = pieces.sparkSession
+    # Columns that are named like the result's give way to it; the numbering keeps the others apart.
+    pieces = pieces.drop("sequence_id", "offset")
+    clashes = {c: f"_own_{i}" for i, c in enumerate(pieces.columns) if c == "number" or c.startswith("_")}
+    names, pieces = pieces.columns, pieces.withColumnsRenamed(clashes)
     ranked, lengths = numbered(pieces, ["length"], "number")
     counts = {r["length"]: r["n"] for r in lengths.collect()}
     if any(not 1 <= size <= capacity for size in counts):
@@ -303,7 +332,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         return pd.DataFrame({"sequence_id": sequence, "offset": offset})
 
     placed = ranked.withColumn("_spot", spot("length", "number"))
-    return placed.select(*pieces.columns, "_spot.sequence_id", "_spot.offset")
+    placed = placed.select(*pieces.columns, "_spot.sequence_id", "_spot.offset")
+    return placed.withColumnsRenamed({new: old for old, new in clashes.items()}).select(*names, "sequence_id", "offset")
 
 
 def sequences(pieces: DataFrame, placed: DataFrame) -> DataFrame:

@@ -11,9 +11,13 @@ train the scorer, a logistic model on hashed words, word beginnings, trailing si
 repeated words and the votes. At most ``FEATURES`` weights are kept and broadcast. Every document is then scored by
 its whole text.
 
-Null and blank texts are voted on like any other and score by the prior alone. Rows without an id are
-scored but not sampled. Several labels of one document count as bad if one of them is. Without any
-labels the heuristics alone decide; an empty table gives no rows.
+The sample is those documents whose ids have the smallest hashes, so it does not depend on the order of
+tasks. Of rows that repeat an id it takes the least text.
+
+Null and blank texts are voted on like any other and score by the prior alone, very long ones are read
+whole. Rows without an id are scored but not sampled; repeated rows are scored each. Several labels of one
+document count as bad if one of them is. Without any labels the heuristics alone decide; an empty table gives
+no rows. Columns named like the results are replaced.
 """
 
 from __future__ import annotations
@@ -35,8 +39,9 @@ FEATURES = 65_536
 BIAS = -1
 # Sampled documents that must show a feature.
 SEEN = 3
-# Words whose weights a task keeps at hand; beyond it the store starts anew.
+# Words whose weights a task keeps at hand, beyond which the store starts anew, and bytes of a word that is kept.
 KEPT_WORDS = 200_000
+LONGEST_KEPT = 64
 THRESHOLD = 0.5
 # Belief about a given label on bad and on good texts (bad, none, good), as weighty as all given labels.
 GIVEN = ((0.999, 0.0, 0.001), (0.001, 0.0, 0.999))
@@ -195,12 +200,12 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[int, float], float]:
     counts = {r["pattern"]: r["count"] for r in voted.groupBy(pattern).count().collect()}
     posterior = posteriors(counts)
 
-    labelled = given.count()
-    share = min(1.0, SAMPLE / max(1, labelled or sum(counts.values())))
-    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))
-    chosen = given.where(drawn).limit(SAMPLE)
-    sample = rows.where("doc_id is not null").where(drawn)
-    sample = sample.join(F.broadcast(chosen), "doc_id") if labelled else sample.join(F.broadcast(chosen), "doc_id", "left")
+    # The documents with the smallest hashes, labelled ones if there are any: the same on every run.
+    pool = given if given.limit(1).count() else rows.select("doc_id", F.lit(None).cast("int").alias("quality"), F.lit(None).cast("int").alias("toxic"))
+    pool = pool.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    chosen = pool.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    # One row per document, however often its id repeats: at most SAMPLE rows go on.
+    sample = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality", "toxic").agg(F.min("text").alias("text"))
 
     def look(batches):
         for batch in batches:
@@ -216,7 +221,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[int, float], float]:
             )
 
     looked = sample.select("text", F.col("quality").cast("int"), F.col("toxic").cast("int"))
-    looked = looked.mapInArrow(look, "quality int, toxic int, said string, seen array<long>").limit(SAMPLE)
+    looked = looked.mapInArrow(look, "quality int, toxic int, said string, seen array<long>")
     learned = pa.schema([("feature", pa.int64()), ("weight", pa.float64())])
 
     def learn(table: pa.Table) -> pa.Table:
@@ -253,7 +258,9 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
                 for word in set(words):
                     own = store.get(word)
                     if own is None:
-                        own = store[word] = tuple((h, known[h]) for h in word_features(word) if h in known)
+                        own = tuple((h, known[h]) for h in word_features(word) if h in known)
+                        if len(word) <= LONGEST_KEPT:
+                            store[word] = own
                     if own:
                         found.update(own)
                 own = text_features(words, votes(value, words))

@@ -4,7 +4,9 @@ Each node knows where matching goes on when no edge fits (the failure link) and
 that settles (the popped count), so a word is read once, byte by byte, and no piece is built.
 
 A word is matched with a leading blank, as the vocabulary's word-initial tokens have it. A word that
-cannot be covered counts as one unknown token. Null or empty text: no words, no tokens.
+cannot be covered counts as one unknown token. Null or empty text: no words, no tokens. Repeated rows are
+counted each, very long words like any other; an empty table gives no rows. Columns named like the results are
+replaced.
 """
 
 from __future__ import annotations
@@ -18,8 +20,9 @@ from pyspark.sql import functions as F
 
 from cumulo.llm.common import texts_of, words_of
 
-# Words whose counts a task keeps at hand; beyond it the store starts anew.
+# Words whose counts a task keeps at hand, beyond which the store starts anew, and bytes of a word that is kept.
 KEPT_WORDS = 200_000
+LONGEST_KEPT = 64
 
 
 class Automaton:
@@ -109,9 +112,11 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                 for word in own:
                     n = known.get(word)
                     if n is None:
+                        n = machine.count(b" " + word)
                         if len(known) >= KEPT_WORDS:
                             known.clear()
-                        n = known[word] = machine.count(b" " + word)
+                        if len(word) <= LONGEST_KEPT:
+                            known[word] = n
                     total += n
                 words.append(len(own))
                 tokens.append(total)

@@ -27,7 +27,7 @@ def test_stages(spark):
     kept = spark.createDataFrame(list(first.items()), "doc_id long, text string")
     low = {r.doc_id for r in simhash.near_duplicates(kept).collect() if r.doc_id == r.component_id}
     assert second.keys() == low
-    finder = decontamination.Finder(decontamination._known(spark.read.parquet(f"{SMALL}/benchmark.parquet"))[0], decontamination.RATE)
+    finder = decontamination.Finder(next(decontamination._blocks(spark.read.parquet(f"{SMALL}/benchmark.parquet")))[0], decontamination.RATE)
     assert third.keys() == {d for d, t in second.items() if not list(finder.find(t))}
     assert fourth == {d: t and pii.replace(t, KEY)[0] for d, t in third.items()}
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, str(SMALL)).collect()

@@ -291,6 +291,65 @@ def test_leaks(spark, rows, empty):
     assert decontamination.leaks(frame, known.limit(0)).collect() == []
 
 
+def test_added_tokens_keep_their_ids():
+    from tokenizers import Tokenizer
+
+    with open(JSON, encoding="utf-8") as file:
+        content = file.read()
+    units = packing.Units(P.PATTERN, packing.byte_ranks(content), packing.added_tokens(content))
+    own = Tokenizer.from_file(JSON)
+    draw = random.Random(3)
+    bits = ["<|endoftext|>", "see ", " here", "<|endof", "text|>", "<", "\n", "  ", "é", "x"]
+    texts = ["see <|endoftext|> here"] + ["".join(draw.choice(bits) for _ in range(draw.randrange(12))) for _ in range(500)]
+    for text in texts:
+        ids = np.frombuffer(units.encode(text), "<u4").tolist()
+        assert ids == own.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(units.encode(texts[0]), "<u4").tolist() == [3826, 220, 50256, 994]
+
+
+def test_stores_are_bounded_by_size(monkeypatch):
+    """Texts without blanks are long units, which are not kept; many short ones start the store anew."""
+    with open(JSON, encoding="utf-8") as file:
+        units = packing.Units(P.PATTERN, packing.byte_ranks(file.read()))
+    for i in range(50):
+        units.encode("".join(chr(0x4E00 + (i * 37 + j) % 2000) for j in range(500)))
+    assert not units
+    monkeypatch.setattr(packing, "KEPT_CHARS", 1000)
+    for i in range(2000):
+        units.encode(f"word{i}")
+    assert units.chars == sum(map(len, units)) <= 1000 + len("word1999")
+
+
+def test_packing_replaces_columns_of_its_names(spark):
+    rows = [(i, 300 + i, 7, "x", 9, 1) for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id int, length int, sequence_id int, offset string, number int, _task int")
+    got = packing.pack(df)
+    assert got.columns == ["doc_id", "length", "number", "_task", "sequence_id", "offset"]
+    assert {(r["number"], r["_task"]) for r in got.collect()} == {(9, 1)}
+    assert sorted(r["offset"] for r in got.collect())[0] == 0
+
+
+def test_blocks_hold_all_items_once(spark, monkeypatch):
+    """However many items there are, the driver holds one block of them at a time."""
+    monkeypatch.setattr(decontamination, "BLOCK_ITEMS", 100)
+    items = spark.range(5000).select(F.col("id").alias("item_id"), F.concat(F.lit("item number "), "id").alias("text"))
+    items = items.union(items.limit(50)).union(spark.createDataFrame([(7, None), (8, ""), (None, "no id")], "item_id long, text string"))
+    seen, largest = [], 0
+    for block, only in decontamination._blocks(items):
+        assert not only
+        largest = max(largest, len(block))
+        seen += [i for i, _ in block]
+    assert sorted(seen) == list(range(5000)) and largest < 200
+
+
+def test_quality_sample_is_the_same_in_any_order(spark, docs, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE", 20)
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 > 0).cast("int").alias("quality"), F.lit(0).alias("toxic"))
+    first = quality.train(docs, labels)
+    again = quality.train(docs.repartition(7), labels.orderBy(F.desc("doc_id")))
+    assert first[0] == pytest.approx(again[0]) and first[1] == pytest.approx(again[1])
+
+
 def test_leaks_in_blocks(spark, monkeypatch):
     items = spark.createDataFrame([(i, f"item number {i} says something long") for i in range(5)], "item_id long, text string")
     docs = spark.createDataFrame([(1, "x item number 3 says something long y")], "doc_id long, text string")
