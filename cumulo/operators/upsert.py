@@ -152,8 +152,11 @@ def replace_by_key(
 
 
 def _balanced(df: DataFrame, table: Table) -> DataFrame:
-    """Rows of a partition together, with large partitions split and small ones combined."""
-    return df.hint("rebalance", *table.partitions) if table.partitions else df
+    """Rows of a partition together, with large partitions split and small ones combined, and in the table's
+    order within each file."""
+    if table.partitions:
+        df = df.hint("rebalance", *table.partitions)
+    return df.sortWithinPartitions(*table.partitions, *table.cluster) if table.cluster else df
 
 
 def _insert(df: DataFrame, name: str, overwrite: bool = False) -> None:

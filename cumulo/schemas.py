@@ -32,7 +32,8 @@ class Table:
     """A stored table: its business key identifies a row, wherever that row is partitioned.
 
     ``dated_by`` is a key column whose month bounds the month partition from below: rows are stored in
-    that month (``same_month``) or, by ingestion, in a later one.
+    that month (``same_month``) or, by ingestion, in a later one. ``cluster`` orders the rows of a file, so
+    that scans skip the parts whose values they do not ask for.
     """
 
     name: str
@@ -42,6 +43,7 @@ class Table:
     path_suffix: str = ""
     dated_by: str = ""
     same_month: bool = False
+    cluster: tuple[str, ...] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -130,6 +132,8 @@ RAW_METRICS = Table(
     schema=METRIC_SCHEMA,
     path_suffix="aws/ec2_metrics",
     dated_by="date",
+    # The roll-up asks for some metrics and recent dates.
+    cluster=("metric_name", "metric_date", "resource_id"),
 )
 
 _DAILY_KEYS = (

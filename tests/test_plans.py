@@ -84,6 +84,41 @@ def test_merges_prune_directories_at_run_time(spark, database):
     assert read and max(read) == 2
 
 
+@pytest.mark.parametrize("merged", [False, True])
+def test_branches_skip_each_others_rows(spark, database, merged):
+    """Files are in metric order, so a scan for some metrics reads about their share of the rows only."""
+    name = U.ensure_table(spark, database, RAW_METRICS)
+    specs = INSTANCE_SPECS + VOLUME_SPECS
+    metric = F.element_at(F.array(*[F.lit(s.metric_name) for s in specs]), (F.col("id") % len(specs) + 1).cast("int"))
+    rows = spark.range(200_000).select(
+        F.lit("c").alias("client_id"),
+        F.lit("a").alias("account_id"),
+        F.lit("2024-01").alias("year_month"),
+        F.concat(F.lit("r"), F.col("id") % 977).alias("resource_id"),
+        metric.alias("metric_name"),
+        F.lit("Average").alias("aggregation_type"),
+        F.lit("2024-01-30").alias("metric_date"),
+        F.col("id").cast("string").alias("date"),
+        F.rand(3).alias("metric_value"),
+        F.lit("EC2").alias("service_name"),
+    )
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.page.row.count.limit", "2000")
+    try:
+        U.append(rows, name, RAW_METRICS)
+        if merged:
+            U.upsert(rows.where("id % 1000 = 0").withColumn("metric_value", F.lit(5.0)), name, RAW_METRICS)
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.page.row.count.limit")
+    for wanted in (specs[:2], specs[2:6]):
+        found = spark.table(name).where(R.collects(wanted)).select("metric_name", "metric_value")
+        found.collect()
+        plan_ = found._jdf.queryExecution().executedPlan()
+        while plan_.children().size():
+            plan_ = plan_.children().apply(0)
+        read = plan_.metrics().apply("numOutputRows").value()
+        assert 20_000 * len(wanted) <= read < 20_000 * len(wanted) + 20_000
+
+
 def test_rollup_scans_push_filters_and_prune_columns(spark, stored_metrics):
     spark.conf.set("spark.sql.maxMetadataStringLength", 10_000)
     text = plan(R.daily_values(stored_metrics, INSTANCE_SPECS + VOLUME_SPECS))
