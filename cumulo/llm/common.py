@@ -12,13 +12,15 @@ from cumulo.session import configure, stage
 
 __all__ = ["arrow_batches", "connected", "numbered", "prepare", "stage", "texts_of", "words_of"]
 
-# Rows that a task hands to Python at a time; whole texts can be long.
+# Rows and bytes that a task hands to Python at a time; whole texts can be long.
 BATCH_ROWS = 1000
+BATCH_BYTES = 64 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """The session with the settings the operators rely on."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return configure(spark)
 
 
@@ -56,26 +58,32 @@ def arrow_batches(schema: pa.Schema, rows: Callable[[pa.RecordBatch], Iterator[t
     return run
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Each name, with a number behind it if the frame has a column of that name."""
+    taken = set(df.columns)
+    return [next(n for n in (name, *(f"{name}{i}" for i in range(len(taken) + 1))) if n not in taken) for name in names]
+
+
 def numbered(df: DataFrame, keys: list[str], name: str) -> tuple[DataFrame, DataFrame]:
     """Number the rows of each key from 0 without gaps; also gives each key's count as ``n``.
 
     The rows are written once, so that their task and place are fixed; each task's rows of a key
     are numbered apart and shifted by the count in earlier tasks. A key that holds most rows is
-    therefore never in one task. Keys must not be null.
+    therefore never in one task. Keys must not be null; a column called ``name`` is replaced.
     """
+    task, at, count, start, rank = free_names(df, "_task", "_place", "_n", "_start", "_rank")
     rows = stage(
-        df.withColumn("_task", F.spark_partition_id()).withColumn("_place", F.monotonically_increasing_id()),
-        f"numbered-{name}",
+        df.withColumn(task, F.spark_partition_id()).withColumn(at, F.monotonically_increasing_id()), f"numbered-{name}"
     )
-    counts = rows.groupBy(*keys, "_task").agg(F.count("*").alias("_n"))
-    earlier = Window.partitionBy(*keys).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*keys, "_task", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy(*keys, "_task").orderBy("_place")
+    counts = rows.groupBy(*keys, task).agg(F.count("*").alias(count))
+    earlier = Window.partitionBy(*keys).orderBy(task).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*keys, task, F.coalesce(F.sum(count).over(earlier), F.lit(0)).alias(start))
+    inside = Window.partitionBy(*keys, task).orderBy(at)
     out = (
-        rows.withColumn("_rank", F.row_number().over(inside) - 1)
-        .join(starts, [*keys, "_task"])
-        .withColumn(name, (F.col("_start") + F.col("_rank")).cast("long"))
-        .drop("_task", "_place", "_rank", "_start")
+        rows.withColumn(rank, F.row_number().over(inside) - 1)
+        .join(starts, [*keys, task])
+        .withColumn(name, (F.col(start) + F.col(rank)).cast("long"))
+        .drop(task, at, rank, start)
     )
     return out, rows.groupBy(*keys).agg(F.count("*").alias("n"))
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cumulo.llm.common import arrow_batches, numbered
+from cumulo.llm.common import arrow_batches, free_names, numbered
 
 CAPACITY = 1024
 # Units whose ids a worker keeps at hand, characters of all of them together, and of one; beyond either total
@@ -303,11 +303,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     the table of them is broadcast.
     """
     spark = pieces.sparkSession
-    # Columns that are named like the result's give way to it; the numbering keeps the others apart.
+    # Columns that are named like the result's give way to it.
     pieces = pieces.drop("sequence_id", "offset")
-    clashes = {c: f"_own_{i}" for i, c in enumerate(pieces.columns) if c == "number" or c.startswith("_")}
-    names, pieces = pieces.columns, pieces.withColumnsRenamed(clashes)
-    ranked, lengths = numbered(pieces, ["length"], "number")
+    number, spotted = free_names(pieces, "number", "_spot")
+    ranked, lengths = numbered(pieces, ["length"], number)
     counts = {r["length"]: r["n"] for r in lengths.collect()}
     if any(not 1 <= size <= capacity for size in counts):
         raise ValueError("lengths must be from 1 to the capacity")
@@ -331,9 +330,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             offset[at] = start[group] + inside % per[group] * s
         return pd.DataFrame({"sequence_id": sequence, "offset": offset})
 
-    placed = ranked.withColumn("_spot", spot("length", "number"))
-    placed = placed.select(*pieces.columns, "_spot.sequence_id", "_spot.offset")
-    return placed.withColumnsRenamed({new: old for old, new in clashes.items()}).select(*names, "sequence_id", "offset")
+    placed = ranked.withColumn(spotted, spot("length", number))
+    return placed.select(*pieces.columns, f"{spotted}.sequence_id", f"{spotted}.offset")
 
 
 def sequences(pieces: DataFrame, placed: DataFrame) -> DataFrame:

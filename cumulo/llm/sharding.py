@@ -4,7 +4,9 @@ At each level the key draws once per child; the draw is an exponential with the
 its rate, so a child wins in proportion to its weight, and changing one weight moves keys only into
 or out of that child's subtree. An inner node's weight is the sum of its shards' weights.
 
-A null key is a key like any other; equal keys go to one shard; an empty table gives no rows.
+A null key is a key like any other, so all rows without a key go to one shard; equal keys, hence repeated
+rows, go to one shard and have a slot each; ties between draws go to the first child. Texts are not read. An
+empty table gives no rows. Columns named like the results are replaced.
 """
 
 from __future__ import annotations
@@ -77,5 +79,5 @@ def place(key: Column, node: Node) -> Column:
 def shard(df: DataFrame, key: str, root: Node, slots: bool = True) -> DataFrame:
     """Add ``shard``, ``grown_shard`` (with one more shard of weight 1) and, with ``slots``, the
     row's ``slot`` in its shard, from 0 without gaps. Other columns stay."""
-    out = df.withColumn("shard", place(F.col(key), root)).withColumn("grown_shard", place(F.col(key), grow(root)))
+    out = df.withColumns({"shard": place(F.col(key), root), "grown_shard": place(F.col(key), grow(root))})
     return numbered(out, ["shard"], "slot")[0] if slots else out

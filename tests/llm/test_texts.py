@@ -43,6 +43,34 @@ def test_weights_move_keys_of_their_subtree_only(spark):
     assert pairs and all(4 <= a < 8 and 4 <= b < 8 for a, b in pairs)
 
 
+def plain_shard(key, node):
+    """The draws one by one, with the hash's public definition."""
+    while node.shard is None:
+        draws = []
+        for i, child in enumerate(node.children):
+            if child.weight > 0:
+                seed = xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), 42)
+                value = xxhash.xxh64_intdigest(child.name.encode(), seed)
+                draws.append((-math.log(((value >> 11) + 0.5) / 2.0**53) / child.weight, i))
+        node = node.children[min(draws)[1]]
+    return node.shard
+
+
+def test_draws_against_plain_ones(spark):
+    for root in (sharding.tree(16), sharding.tree(11, 3, 2, {2: 5.0, 3: 0.0, 4: 0.25}), sharding.tree(1)):
+        rows = sharding.shard(spark.range(-50, 400).select(F.col("id").alias("doc_id")), "doc_id", root).collect()
+        assert all(r.shard == plain_shard(r.doc_id, root) and r.grown_shard == plain_shard(r.doc_id, sharding.grow(root)) for r in rows)
+
+
+def test_columns_named_like_the_numbering_stay(spark):
+    rows = [(i, "a", "b", "c", "d", "e", 9, 9) for i in range(20)]
+    df = spark.createDataFrame(rows, "shard long, _task string, _place string, _rank string, _start string, _n string, slot int, grown_shard int")
+    got = sharding.shard(df, "shard", sharding.tree(3)).collect()
+    assert {(r._task, r._place, r._rank, r._start, r._n) for r in got} == {("a", "b", "c", "d", "e")}
+    assert sorted((r.shard, r.slot) for r in got) == sorted((s, i) for s, n in collections.Counter(r.shard for r in got).items() for i in range(n))
+    assert collections.Counter(r.shard for r in got) == collections.Counter(plain_shard(i, sharding.tree(3)) for i in range(20))
+
+
 def test_shards_of_odd_rows(odd, empty):
     assert {r.slot for r in sharding.shard(odd, "doc_id", sharding.tree(1)).collect()} == {0, 1, 2, 3}
     assert sharding.shard(empty, "doc_id", sharding.tree(16)).collect() == []
