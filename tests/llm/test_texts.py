@@ -683,6 +683,37 @@ def test_weak_labels_find_the_bad(spark, empty, odd):
     assert quality.score(empty, marks).collect() == []
 
 
+def plain_posteriors(patterns, rounds=60):
+    """Expectation-maximisation pattern by pattern, in plain sums."""
+    weight = {"b": 1, "-": 0, "g": -1}
+    start = lambda p: sum(weight[c] for c in p[:-1]) + 4 * weight[p[-1]]
+    bad = {p: 1 / (1 + math.exp(-1.5 * start(p) + 0.5)) for p in patterns}
+    total, places = sum(patterns.values()), len(next(iter(patterns)))
+    for _ in range(rounds):
+        prior = (sum(n * bad[p] for p, n in patterns.items()) + 1) / (total + 2)
+        odds = {p: math.log(prior / (1 - prior)) for p in patterns}
+        for l in range(places):
+            own = [p for p in patterns if l < places - 1 or p[l] != "-"]
+            rates = []
+            for side, belief in zip((bad, {p: 1 - b for p, b in bad.items()}), quality.GIVEN):
+                seen = {c: 1.0 + sum(patterns[p] * side[p] for p in own if p[l] == c) for c in "b-g"}
+                if l == places - 1:
+                    heard = sum(patterns[p] for p in own)
+                    seen = {c: n + heard * belief["b-g".index(c)] for c, n in seen.items()}
+                rates.append({c: n / sum(seen.values()) for c, n in seen.items()})
+            for p in own:
+                odds[p] += math.log(rates[0][p[l]] / rates[1][p[l]])
+        bad = {p: 1 / (1 + math.exp(-max(-30, min(30, o)))) for p, o in odds.items()}
+    return bad
+
+
+def test_estimates_against_plain_sums():
+    draw = random.Random(11)
+    for places in (2, 4, 7):
+        patterns = collections.Counter("".join(draw.choice("bbg-") for _ in range(places)) for _ in range(400))
+        assert quality.estimate(patterns) == pytest.approx(plain_posteriors(patterns), abs=1e-9)
+
+
 def test_estimated_accuracies():
     draw = random.Random(9)
     patterns, truth = collections.Counter(), collections.defaultdict(list)
