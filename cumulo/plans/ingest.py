@@ -118,7 +118,7 @@ def _ingest_service(
 ) -> list[tuple]:
     accounts, regions = params.accounts or None, params.regions or None
     scope = (accounts, regions, landed.run)
-    ledger = Ledger(spark, params.database) if landed.once else None
+    ledger = Ledger(spark, params.database, params.provider, params.warehouse or None) if landed.once else None
     taken = lambda folder: ledger.take(folder, accounts, regions) if ledger else None
     pages = read_inventory_pages(spark, landed.inventory, *scope, taken(landed.inventory))
     failures = 0

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cumulo.operators.upsert import append, ensure_table
 from cumulo.schemas import LEDGER
 from cumulo.session import stage
 from cumulo.sources.tables import read_if_exists
@@ -42,8 +43,9 @@ class Ledger:
     again, and merging them twice changes nothing.
     """
 
-    def __init__(self, spark: SparkSession, database: str):
+    def __init__(self, spark: SparkSession, database: str, provider: str = "parquet", warehouse: str | None = None):
         self.spark, self.name = spark, f"{database}.{LEDGER.name}"
+        self.provider, self.warehouse = provider, warehouse
         self.taken: list[DataFrame] = []
 
     def take(self, folder: str, accounts: Sequence[str] | None, regions: Sequence[str] | None) -> list[str]:
@@ -55,9 +57,8 @@ class Ledger:
         return [row["path"] for row in found.select("path").toLocalIterator()]
 
     def note(self, service: str, run_time: dt.datetime) -> None:
-        from cumulo.operators.upsert import append, ensure_table
-
-        ensure_table(self.spark, self.name.rsplit(".", 1)[0], LEDGER)
+        database = self.name.rsplit(".", 1)[0]
+        ensure_table(self.spark, database, LEDGER, provider=self.provider, warehouse=self.warehouse)
         for files in self.taken:
             entries = files.withColumns({"service_name": F.lit(service), "job_runtime_utc": F.lit(run_time)})
             append(entries, self.name, LEDGER)
