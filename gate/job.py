@@ -140,14 +140,14 @@ raw AS (
   FROM period JOIN customer ON resource_id = 'res/' || c_custkey GROUP BY ALL),
 stored AS (
   SELECT 'bronze_aws_ec2_instances_v1' AS name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey
-  UNION ALL SELECT 'bronze_aws_metrics_v1', count(*) FROM raw
+  UNION ALL SELECT 'bronze_aws_metrics_v1', count(*) FROM raw HAVING EXISTS (SELECT 1 FROM customer)
   UNION ALL
   SELECT name, count(*) FROM daily JOIN customer ON resource_id = 'res/' || c_custkey,
          (VALUES ('test_bronze_aws_metrics'), ('bronze_aws_daily_metrics')) AS t(name) GROUP BY name)
 SELECT 'metric_rows' AS section, metric_name AS name, count(*)::BIGINT AS value FROM raw GROUP BY metric_name
 UNION ALL SELECT 'rows_merged', name, (2 * n)::BIGINT FROM stored
 UNION ALL SELECT 'failures', name, 0 FROM stored
-UNION ALL SELECT 'duplicates', 'bronze_aws_metrics_v1', 0
+UNION ALL SELECT 'duplicates', name, 0 FROM stored WHERE name = 'bronze_aws_metrics_v1'
 """,
 )
 def run_report(spark, sf_dir):
