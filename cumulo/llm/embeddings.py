@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from cumulo.llm.common import connected, stage
 
-LISTED = 24
+LISTED = 12
 TARGET = 32
 TILE = 1024
 # Rows that one task compares group by group.
