@@ -104,10 +104,14 @@ def _heads(ranked: np.ndarray) -> np.ndarray:
 
 
 def add_up(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct codes, sorted, and the sums of their counts."""
+    """Distinct codes, sorted, and the sums of their counts. The list is emptied, so that its parts and their
+    sum are not held together."""
     values, counts = (np.concatenate(x) for x in zip(*parts))
+    parts.clear()
     order = np.argsort(values, kind="stable")
-    values, counts = values[order], counts[order]
+    values = values[order]
+    counts = counts[order]
+    del order
     first = _heads(values)
     return values[first], np.add.reduceat(counts, first) if len(first) else counts
 
@@ -183,6 +187,12 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 _HALF = np.array([math.lgamma(i + 0.5) for i in range(64)]) - math.lgamma(0.5)
 
 
+def own_share(own: np.ndarray, under: np.ndarray) -> np.ndarray:
+    """Share of the first in the sum of two probabilities given by their logs. It is never above one, as the
+    difference of long logs can be."""
+    return 1 / (1 + np.exp(np.minimum(under - own, 700.0)))
+
+
 class Forest:
     """The trees of all contexts that end in the same bytes, from ``TOP`` + 1 bytes down to ``depth``, over
     sorted distinct codes and their counts."""
@@ -226,7 +236,7 @@ class Forest:
             parent[d + 1] = level[d][1][self.tables[d][2][level[d + 1][0]]]
             under = np.bincount(parent[d + 1], log_w[d + 1], len(log_e))
             log_w[d] = np.logaddexp(log_e, under) - LN2
-            stop[d] = np.exp(log_e - LN2 - log_w[d])
+            stop[d] = own_share(log_e, under)
         return log_w, stop, parent
 
     def _columns(self, level, bit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -254,7 +264,7 @@ class Forest:
         out = np.zeros(len(keys))
         for bit in range(8):
             level = self._level(bit)
-            _, stop, parent = self._weighted(level)
+            stop, parent = self._weighted(level)[1:]
             at = self._columns(level, bit)
             settled, left = mass[at], share[at]
             for d in range(TOP + 1, self.depth + 1):
@@ -288,7 +298,7 @@ def top_mixture(pairs: np.ndarray, under: np.ndarray, counts: np.ndarray) -> tup
         zeros, ones = decisions(counts)
         log_e = log_kt(zeros, ones)
         log_w = np.logaddexp(log_e, under) - LN2
-        levels.append((np.exp(log_e - LN2 - log_w), (ones + 0.5) / (zeros + ones + 1.0), names))
+        levels.append((own_share(log_e, under), (ones + 0.5) / (zeros + ones + 1.0), names))
         if d:
             names, place = np.unique(names >> np.uint64(8), return_inverse=True)
             under, counts = (
@@ -336,6 +346,7 @@ def chunk_pieces(chunk: int, ids: list, outs: list[bool], texts: list[bytes], de
     body = bytes([END]).join(texts)
     blob = len(body).to_bytes(8, "little") + pa.compress(body, codec="zstd", asbytes=True)
     yield _TEXTS, chunk, 0, len(ids), blob, packed(told)
+    del body, blob
     train = ~np.array(outs, dtype=bool)
     values, counts = tally(texts, train, depth)
     bucket = _spread(values, depth, buckets)
@@ -345,6 +356,7 @@ def chunk_pieces(chunk: int, ids: list, outs: list[bool], texts: list[bytes], de
         if high > low:
             own = order[low:high]
             yield _CODES, chunk, b, int(high - low), packed_codes(values[own]), packed(counts[own])
+    del values, counts, bucket, order
     words = [Counter(), Counter()]
     for text, out in zip(texts, outs):
         words[out].update(text.split())
@@ -464,7 +476,8 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
             np.array([np.frombuffer(x, t) for x in table.column(c).take(pa.array(order)).to_pylist()])
             for c, t in (("under", np.float64), ("counts", np.int64))
         )
-        found = [[p.tobytes() for p in x.astype(np.float32)] for x in top_mixture(pairs, under, counts)]
+        # As doubles: a bit that was one 20 million times would be certain as a 32-bit float.
+        found = [[p.tobytes() for p in x] for x in top_mixture(pairs, under, counts)]
         return pa.table([pa.array(pairs.astype(np.int64)), pa.array(found[0], pa.binary()), pa.array(found[1], pa.binary())], names=["pair", "mass", "share"])
 
     pair = "pair long, under binary, counts binary"
@@ -472,7 +485,7 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     top = left.groupBy(F.lit(0).alias("all")).applyInArrow(weigh, "pair long, mass binary, share binary").toArrow()
     shared = spark.sparkContext.broadcast(
         tuple(
-            np.frombuffer(b"".join(top.column(c).to_pylist()), np.float32).reshape(-1, 255) if c != "pair" else top.column(c).to_numpy()
+            np.frombuffer(b"".join(top.column(c).to_pylist())).reshape(-1, 255) if c != "pair" else top.column(c).to_numpy()
             for c in ("pair", "mass", "share")
         )
         if top.num_rows
@@ -484,7 +497,7 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         forest = Forest(values, counts, depth)
         names, mass, share = shared.value
         at = np.searchsorted(names, forest.pairs.astype(np.int64))
-        logs = forest.logs(mass[at].astype(np.float64), share[at].astype(np.float64)).astype("<f4")
+        logs = forest.logs(mass[at], share[at]).astype("<f4")
         del forest
         out = []
         for chunk, n, a in zip(*(table.column(c) for c in ("chunk", "size", "a"))):
@@ -549,6 +562,18 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     )
 
 
+def weighted_with_base(scored: DataFrame) -> DataFrame:
+    """``score`` becomes the log10 of the mean of the tree's and the base's probability, as a node weights its
+    own estimate and its children; ``tree_score`` keeps the tree's own.
+
+    The base takes all words that training lacks for one, while the tree spells them out, which costs it more
+    the longer they are. A text's probability is at most that of its tokens so taken, so the mean never
+    promises more than the two models together give those tokens; it is at least half of either one's."""
+    low, high = F.least("base_score", "score"), F.greatest("base_score", "score")
+    mean = high + F.log10((F.pow(F.lit(10.0), low - high) + 1) / 2)
+    return scored.withColumns({"score": mean, "tree_score": F.col("score")})
+
+
 def _sums(batches):
     for batch in batches:
         each = np.array([np.frombuffer(a, "<i8") for a in batch.column(batch.schema.get_field_index("a")).to_pylist()])

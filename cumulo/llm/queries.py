@@ -103,7 +103,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_context_tree_scores")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return context_tree.score(documents(spark, sf_dir))
+    return context_tree.weighted_with_base(context_tree.score(documents(spark, sf_dir)))
 
 
 @query("op8_spherical_cap_filters")

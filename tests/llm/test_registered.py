@@ -1,5 +1,6 @@
 """The registered queries on odd and on empty tables, and the columns they derive."""
 
+import math
 import struct
 import zlib
 
@@ -68,3 +69,19 @@ def test_derived_columns(spark, folders):
     one = f"{xxhash.xxh64_intdigest('a b c', 42):016x}"
     assert {r["fingerprint"] for r in prints if r["doc_id"] in (1, 7)} == {one}
     assert {r["fingerprint"] for r in prints if r["doc_id"] in (2, 3, 4)} == {"0" * 16}
+
+
+def test_scores_of_words_that_training_lacks(spark, tmp_path):
+    """A held-out text that a unigram model gives a word's price is not charged for every byte of it."""
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2]
+    odd = ["key 9f86d081884c7d659a2feaa0c55ad015" * 30, "x" * 5000, "the `new` word", "\0 \U0001f600", "", None, "the old word"]
+    rows = [(i, "the old word and the other") for i in range(200) if i not in held] + list(zip(held, odd))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r for r in QUERIES["op7_context_tree_scores"](spark, str(tmp_path)).collect()}
+    assert sorted(found) == sorted(i for i, _ in rows)
+    for r in found.values():
+        assert math.isfinite(r["score"]) and math.isfinite(r["tree_score"])
+        assert r["score"] >= max(r["base_score"], r["tree_score"]) - math.log10(2) - 1e-9
+        if r["tree_score"] > -300 and r["base_score"] > -300:
+            assert 10 ** r["score"] == pytest.approx((10 ** r["base_score"] + 10 ** r["tree_score"]) / 2)
+    assert found[held[1]]["tree_score"] < -100 > found[held[0]]["tree_score"]

@@ -551,6 +551,27 @@ def test_bytes_have_probability_one():
     assert (10 ** logs[(values >> np.uint64(8)) == context]).sum() == pytest.approx(1, abs=1e-9)
 
 
+def test_bits_that_were_always_the_same(spark):
+    """What 20 million bytes never had keeps a probability, though one bit of it never had the other value."""
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    long = spark.range(1).select(F.lit(held + 1).alias("doc_id"), F.repeat(F.lit("a"), 20_000_000).alias("text"))
+    assert zlib.crc32(str(held + 1).encode()) % 7 != 2
+    docs = long.unionByName(spark.createDataFrame([(held, "`a`")], "doc_id long, text string"))
+    got = {r.doc_id: r.score for r in context_tree.score(docs, depth=3).collect()}
+    assert [got[held + 1], got[held]] == pytest.approx(forest_scores([b"a" * 20_000_000], [b"`a`"], 3).tolist(), rel=1e-5)
+    assert all(map(math.isfinite, got.values()))
+
+
+def test_shares_are_never_above_one():
+    draw = np.random.default_rng(3)
+    own = -draw.uniform(1e8, 1e9, 10_000)
+    under = own - draw.uniform(-40, 40, 10_000)
+    share = context_tree.own_share(own, under)
+    assert ((share >= 0) & (share <= 1)).all()
+    assert share == pytest.approx(1 / (1 + np.exp(under - own)))
+    assert context_tree.own_share(np.array([-1.0, -9000.0]), np.array([-9000.0, -1.0])).tolist() == pytest.approx([1, 0])
+
+
 def plain_base(texts, doc_ids):
     """Per document: tokens, known tokens, training tokens and the base score."""
     held = [zlib.crc32(("" if d is None else str(d)).encode()) % 7 == 2 for d in doc_ids]
