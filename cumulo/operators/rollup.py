@@ -137,8 +137,7 @@ def only_days(raw: DataFrame, days: DataFrame) -> DataFrame:
     """
     count, first, last = days.agg(F.count(F.lit(1)), F.min("metric_date"), F.max("metric_date")).first()
     wanted = days.select(*DAY).where(F.col("metric_date") <= last) if count else days.select(*DAY)
-    if count <= BROADCAST_DAYS:
-        wanted = F.broadcast(wanted)
+    wanted = F.broadcast(wanted) if count <= BROADCAST_DAYS else wanted.hint("merge")
     return raw.where(F.col("metric_date").between(first, last)).join(wanted, list(DAY), "left_semi")
 
 

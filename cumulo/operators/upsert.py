@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cumulo.operators.shape import conform, keep_last, keep_one
+from cumulo.operators.shape import conform, join_side, keep_last, keep_one
 from cumulo.schemas import Table
 from cumulo.session import stage
 
@@ -198,7 +198,7 @@ def _null_spread(columns: Sequence[str], keys: Sequence[str]) -> Column:
 def _matches(target: DataFrame, batch: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     spread = target.withColumn("_spread", _null_spread(target.columns, keys))
     wanted = batch.select(*keys, F.lit(0).cast("long").alias("_spread"))
-    return spread.join(wanted, [*keys, "_spread"], how).select(*target.columns)
+    return spread.join(join_side(wanted), [*keys, "_spread"], how).select(*target.columns)
 
 
 def _literal(value: object) -> str:

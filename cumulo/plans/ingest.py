@@ -28,7 +28,7 @@ from cumulo.operators.reports import (
     without_failed_scopes,
 )
 from cumulo.operators.rollup import DAY, changed_days, daily_projection, daily_values, only_days, unique_daily
-from cumulo.operators.shape import client_list, for_clients, keep_last, stamp
+from cumulo.operators.shape import client_list, for_clients, join_side, keep_last, stamp
 from cumulo.operators.upsert import append, as_stored, ensure_table, merge_batch, remove_keys
 from cumulo.plans.params import IngestParams
 from cumulo.plans.services import Service, active_services, service_named
@@ -167,7 +167,7 @@ def _ingest_service(
     )
     unique, kept = _counted(unique)
     raw = P.enrich(
-        unique, resources, service.specs, service_name=service.name, namespace=service.namespace
+        unique, join_side(resources), service.specs, service_name=service.name, namespace=service.namespace
     )
     raw = stage(as_stored(stamp(raw, params.client_id, run_time), service.metrics), "raw")
     removed = spark.range(1).select(F.lit(fetched() - kept()).alias("n"))
@@ -213,7 +213,7 @@ def _with_stored(
         if wanted is not None:
             stored = stored.where(F.col(column).isin(*wanted))
     listed = stored.select("account_id", "region", "raw_data", F.lit(False).alias("malformed"))
-    again = service.resources(listed).join(resources, list(P.INSTANCE_KEYS), "left_anti")
+    again = service.resources(listed).join(join_side(resources), list(P.INSTANCE_KEYS), "left_anti")
     return resources.unionByName(again, allowMissingColumns=True)
 
 

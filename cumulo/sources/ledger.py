@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cumulo.operators.shape import join_side
 from cumulo.operators.upsert import append, ensure_table
 from cumulo.schemas import LEDGER
 from cumulo.session import stage
@@ -52,7 +53,7 @@ class Ledger:
         """Paths of the folder's unread files, to be noted later. The list is as long as the listing of those
         files that Spark itself keeps to read them."""
         stored = read_if_exists(self.spark, self.name, LEDGER.schema)
-        found = stage(unread(landed_files(self.spark, folder, accounts, regions), stored), "unread")
+        found = stage(unread(landed_files(self.spark, folder, accounts, regions), join_side(stored)), "unread")
         self.taken.append(found)
         return [row["path"] for row in found.select("path").toLocalIterator()]
 

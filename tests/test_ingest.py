@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import re
 
 import pytest
 
@@ -314,3 +315,36 @@ def test_changed_days_give_the_full_rollup(spark, tmp_path, run_time):
     assert {r.metric_date for r in some.collect()} == {"2024-01-28"} and some.count() < raw.count()
     for kind in stored:
         spark.sql(f"DROP DATABASE db_{kind} CASCADE")
+
+
+@pytest.fixture
+def broadcast_by(monkeypatch):
+    """Keys of the broadcast joins in all that is staged or written, where tables count as too long for one."""
+    from cumulo.operators import rollup, shape, upsert
+    from cumulo.plans import ingest
+    from cumulo.sources import ledger
+
+    monkeypatch.setattr(shape, "BROADCAST_ROWS", 0, raising=False)
+    monkeypatch.setattr(rollup, "BROADCAST_DAYS", 0)
+    found = set()
+
+    def spied(real):
+        def call(df, *args):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            for keys in re.findall(r"BroadcastHashJoin .*?, \[(.*?)\], ", plan):
+                found.add(tuple(re.sub(r"#\d+L?", "", k) for k in keys.split(", ")))
+            return real(df, *args)
+
+        return call
+
+    for module, name in ((ingest, "stage"), (upsert, "stage"), (ledger, "stage"), (upsert, "_balanced")):
+        monkeypatch.setattr(module, name, spied(getattr(module, name)))
+    return found
+
+
+def test_a_job_broadcasts_no_rows_of_its_tables(spark, database, landed, run_time, broadcast_by):
+    """Only specifications, scopes that failed and partitions, though all files of the job are small."""
+    once = Landed(landed.inventory, landed.metrics, once=True)
+    run_ingest(spark, IngestParams("c1", database, additional_client_id="c2", changes_only=True), once, run_time)
+    assert broadcast_by == {("metric_name",), ("account_id", "region"), ("_listed",)}
+    assert len(stored_daily(spark, database)) == 8
