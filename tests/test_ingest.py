@@ -348,3 +348,18 @@ def test_a_job_broadcasts_no_rows_of_its_tables(spark, database, landed, run_tim
     run_ingest(spark, IngestParams("c1", database, additional_client_id="c2", changes_only=True), once, run_time)
     assert broadcast_by == {("metric_name",), ("account_id", "region"), ("_listed",)}
     assert len(stored_daily(spark, database)) == 8
+
+
+def test_a_repeated_report_is_merged_without_broadcasting_its_lines(spark, database, rows, run_time, broadcast_by):
+    from pyspark.sql import functions as F
+
+    from cumulo.operators.reports import report_lines
+    from cumulo.plans import ingest
+    from cumulo.plans.services import service_named
+
+    for factor in (1, 2):
+        lines = report_lines(spark.range(3), "metric_rows", F.concat(F.lit("m"), "id"), F.col("id") * factor)
+        ingest._store_report(spark, [lines], service_named("EC2"), IngestParams("c1", database), run_time)
+    told = ingest.run_report(spark, database, run_time)
+    assert rows(told.select("section", "name", "value")) == [("metric_rows", f"m{i}", 2 * i) for i in range(3)]
+    assert broadcast_by == {("_listed",)}
