@@ -88,6 +88,17 @@ def test_a_row_moves_partition_and_the_emptied_one_goes(spark, table, batch):
     assert listed == {"client_id=c/month=2023-11", "client_id=c/month=2024-02"}
 
 
+def test_many_keys_are_not_broadcast(spark):
+    """However small the files they are read from; Spark may still broadcast a short batch."""
+    keys = [F.lit("c").alias("client_id"), F.lit("x" * 200).alias("v"), F.lit("m").alias("month"), F.lit("w").alias("w")]
+    target = U.stage(spark.range(150_000).select(F.col("id").cast("string").alias("k"), *keys), "target")
+    for batch, join in ((target, "SortMergeJoin"), (U.stage(target.limit(1000), "few"), "BroadcastHashJoin")):
+        for how in ("left_semi", "left_anti"):
+            matched = U._matches(target, batch, TABLE.keys, how)
+            assert join in matched._jdf.queryExecution().executedPlan().toString()
+            assert matched.count() == (batch.count() if how == "left_semi" else 150_000 - batch.count())
+
+
 def test_null_keys_insert_again(spark, table, batch):
     for value in ("a", "b"):
         U.upsert(batch((None, "c", "m", value, ""), (None, "c", "m", value, "")), table, TABLE)
